@@ -102,11 +102,11 @@ def lifespans(footers: DataFrame) -> DataFrame:
     An island starts where the field was not in the file before or had another type; files where all its values are null belong to the island they lie in.
     """
     seen = neighbours(footers, ["feed", "field"], "no", "kind")
-    typed = F.coalesce("kind", "last_kind", F.lit("null"))
-    starts = seen.withColumn("typed", typed).withColumn("starts", F.coalesce((F.col("prev_no") != F.col("no") - 1) | (F.col("last_kind") != F.col("kind")), F.lit(True)))
-    w = Window.partitionBy("feed", "field").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    islands = starts.withColumn("island", F.sum(F.col("starts").cast("long")).over(w))
-    return islands.groupBy("feed", "field", "island").agg(F.max_by("typed", "no").alias("kind"), F.min("no").alias("first_no"), F.max("no").alias("last_no"), F.count(F.lit(1)).alias("n_files"), F.sum("n_values").alias("n_values")).drop("island")
+    broken = F.coalesce(F.col("prev_no") != F.col("no") - 1, F.lit(True)) | F.coalesce(F.col("last_kind") != F.col("kind"), F.lit(False))
+    marked = seen.select("feed", "field", "no", "kind", "n_values", F.when(broken, F.col("no")).alias("start"))
+    islands = neighbours(marked, ["feed", "field"], "no", "start").withColumn("first_no", F.coalesce("start", "last_start"))
+    ends = islands.groupBy("feed", "field", "first_no").agg(F.max("kind").alias("kind"), F.max("no").alias("last_no"), F.count(F.lit(1)).alias("n_files"), F.sum("n_values").alias("n_values"))
+    return ends.select("feed", "field", F.coalesce("kind", F.lit("null")).alias("kind"), "first_no", "last_no", "n_files", "n_values")
 
 
 def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
