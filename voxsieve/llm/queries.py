@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxsieve.llm import plaintext, topn
+from voxsieve.llm import leakage, mixing, plaintext, reading, topn
 from voxsieve.sources.tables import table
 
 
@@ -30,7 +30,38 @@ def p3_plain(spark: SparkSession, root: str) -> DataFrame:
     return kept.withColumn("plain", F.col("text")).unionByName(changed)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_plain)}
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
+
+
+def p6_items(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.item_report(leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items")))
+
+
+def p6_kept(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    return leakage.without_leaks(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id", "n_chars")
+
+
+def p7_mix(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
+
+
+def p8_levels(spark: SparkSession, root: str) -> DataFrame:
+    levels = reading.reading_levels(table(spark, root, "documents"), table(spark, root, "level_labels"))
+    return levels.select("doc_id", "script", "score", "level_estimate", "level")
+
+
+def p8_profile(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents").withColumn("plain_source", F.coalesce(mixing.plain_source(F.col("source")), F.lit("unknown")))
+    return reading.profile(reading.reading_levels(documents, table(spark, root, "level_labels")), ["plain_source", "script"])
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_plain, p6_found, p6_items, p6_kept, p7_mix, p7_shares, p8_levels, p8_profile)}
 
 ORACLES = {
     "p2_found": """
