@@ -94,7 +94,7 @@ class Ranker:
         return np.interp(self.scores(x), self.xs, self.ys)
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 300) -> np.ndarray:
+def fit_pairs(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 300) -> np.ndarray:
     """Weights that order all pairs of different level: logistic loss on score differences, accelerated gradient.
 
     The loss of all pairs is summed from the matrix of score differences, 512 rows at a time, so pairs of features are never built.
