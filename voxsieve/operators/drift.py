@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxsieve.operators.ordered import neighbours, numbered
+from voxsieve.session import settled
 
 # The spellings under which a canonical field is known, in order of preference, and its type.
 ALIASES = {
@@ -91,7 +92,8 @@ def catalogue(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     per_file = cells.groupBy("feed", "at", "file", "field").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kind"), F.count(F.lit(1)).alias("n_lines"), F.count("kind").alias("n_values")
     )
-    files = numbered(per_file.select("feed", "at", "file").distinct(), ["feed"], "at", ["file"], "no")
+    per_file = settled(per_file, "footers")
+    files = settled(numbered(per_file.select("feed", "at", "file").distinct(), ["feed"], "at", ["file"], "no"), "files")
     footers = per_file.join(files, ["feed", "at", "file"]).withColumn("kind", F.when(F.col("kind") != "", F.col("kind")))
     return files, footers.select("feed", "no", "field", "kind", "n_lines", "n_values")
 
@@ -119,7 +121,7 @@ def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float)
     at = pairs.select("feed", "no").distinct()
     near = at.select("feed", "no", F.explode(F.array("no", F.col("no") - 1)).alias("at_no"))
     numbered_cells = cells.where("content is not null and content <> ''").join(files, ["feed", "at", "file"]).select("feed", F.col("no").alias("at_no"), "line", "field", "content")
-    local = numbered_cells.join(near, ["feed", "at_no"]).withColumn("is_new", F.col("at_no") == F.col("no"))
+    local = settled(numbered_cells.join(near, ["feed", "at_no"]).withColumn("is_new", F.col("at_no") == F.col("no")), "local")
     unique = local.groupBy("feed", "no", "is_new", "content").agg(F.count_distinct("line").alias("n"), F.first("line").alias("line")).where("n = 1")
     a = unique.where("not is_new").select("feed", "no", "content", F.col("line").alias("old_line"))
     b = unique.where("is_new").select("feed", "no", "content", F.col("line").alias("new_line"))
@@ -127,7 +129,7 @@ def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float)
     best = Window.partitionBy("feed", "no", "old_line").orderBy(F.desc("votes"), "new_line")
     linked = votes.withColumn("r", F.row_number().over(best)).where("r = 1").select("feed", "no", "old_line", "new_line", "votes")
     back = Window.partitionBy("feed", "no", "new_line").orderBy(F.desc("votes"), "old_line")
-    linked = linked.withColumn("r", F.row_number().over(back)).where("r = 1").select("feed", "no", "old_line", "new_line")
+    linked = settled(linked.withColumn("r", F.row_number().over(back)).where("r = 1").select("feed", "no", "old_line", "new_line"), "linked")
     x = local.where("not is_new").select("feed", "no", F.col("line").alias("old_line"), F.col("field").alias("old"), F.col("content").alias("x"))
     y = local.where("is_new").select("feed", "no", F.col("line").alias("new_line"), F.col("field").alias("new"), F.col("content").alias("y"))
     seen = pairs.join(x, ["feed", "no", "old"]).join(linked, ["feed", "no", "old_line"]).join(y, ["feed", "no", "new", "new_line"])
@@ -153,26 +155,23 @@ def changes(cells: DataFrame, rename_share: float = 0.6) -> DataFrame:
     read several times: pass a materialised table.
     """
     files, footers = catalogue(cells)
-    seen = neighbours(footers, ["feed", "field"], "no", "kind")
-    here = F.col("no").alias("no")
-    new = seen.where("no > 1 and (prev_no is null or prev_no < no - 1)").select("feed", here, F.col("field").alias("new"))
+    seen = settled(neighbours(footers, ["feed", "field"], "no", "kind"), "seen")
+    new = seen.where("no > 1 and (prev_no is null or prev_no < no - 1)").select("feed", "no", F.col("field").alias("new"))
     ended = seen.where("next_no is null or next_no > no + 1").select("feed", (F.col("no") + 1).alias("no"), F.col("field").alias("old"))
-    gone = ended.join(files.select("feed", "no"), ["feed", "no"], "left_semi")
-    retyped = seen.where("prev_no = no - 1 and kind is not null and last_kind is not null and kind <> last_kind").select("feed", here, F.lit("retyped").alias("change"), F.col("field").alias("old_field"), F.col("field").alias("new_field"))
-    renamed = _renames(cells, files, gone.join(new, ["feed", "no"]), rename_share)
-    out = retyped.unionByName(renamed.select("feed", "no", F.lit("renamed").alias("change"), F.col("old").alias("old_field"), F.col("new").alias("new_field")))
-    out = out.unionByName(gone.join(renamed.select("feed", "no", "old"), ["feed", "no", "old"], "left_anti").select("feed", "no", F.lit("removed").alias("change"), F.col("old").alias("old_field"), F.lit("").alias("new_field")))
-    out = out.unionByName(new.join(renamed.select("feed", "no", "new"), ["feed", "no", "new"], "left_anti").select("feed", "no", F.lit("added").alias("change"), F.lit("").alias("old_field"), F.col("new").alias("new_field")))
+    gone = settled(ended.join(files.select("feed", "no"), ["feed", "no"], "left_semi"), "gone")
+    renamed = settled(_renames(cells, files, settled(gone.join(new, ["feed", "no"]), "pairs"), rename_share), "renamed")
+    event = lambda d, change, old, new_field: d.select("feed", "no", F.lit(change).alias("change"), old.alias("old_field"), new_field.alias("new_field"))
+    retyped = seen.where("prev_no = no - 1 and kind is not null and last_kind is not null and kind <> last_kind")
+    out = event(retyped, "retyped", F.col("field"), F.col("field"))
+    out = out.unionByName(event(renamed, "renamed", F.col("old"), F.col("new")))
+    out = out.unionByName(event(gone.join(renamed, ["feed", "no", "old"], "left_anti"), "removed", F.col("old"), F.lit("")))
+    out = out.unionByName(event(new.join(renamed, ["feed", "no", "new"], "left_anti"), "added", F.lit(""), F.col("new")))
     return out.join(files, ["feed", "no"]).select(F.col("feed").alias("feed_id"), F.col("file").alias("file_name"), "change", "old_field", "new_field")
 
 
 def materialised_cells(lines: DataFrame) -> DataFrame:
     """The exploded fields of raw lines as a table in the shared folder."""
-    from voxsieve.session import scratch_path
-
-    path = scratch_path(lines.sparkSession, "cells")
-    fields(lines, "feed_id", "written_at", "file_name", "line_id").write.parquet(path)
-    return lines.sparkSession.read.parquet(path)
+    return settled(fields(lines, "feed_id", "written_at", "file_name", "line_id"), "cells")
 
 
 def cast_expression(doc: Column, spellings: list[str], kind: str) -> Column:

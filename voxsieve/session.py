@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "voxsieve") -> SparkSession:
@@ -42,3 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written to the shared folder: its lineage is cut, and a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
