@@ -51,8 +51,9 @@ def natural_key(text: Column) -> Column:
 
 def slug(text: Column, most: int = 48) -> Column:
     """Letters, digits, ``._-`` of a text, other runs as one underscore, at most ``most`` characters."""
-    clean = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^0-9A-Za-z._-]+", "_")
-    return F.coalesce(F.nullif(F.substring(F.regexp_replace(clean, r"^[_.]+|[_.]+$", ""), 1, most), F.lit("")), F.lit("x"))
+    clean = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^A-Za-z0-9_.-]+", "_")
+    bare = F.regexp_replace(clean, r"^[._]+|[._]+$", "")
+    return F.substring(F.when(bare == "", "empty").otherwise(bare), 1, most)
 
 
 def duration_bucket(seconds: Column, width: float = 0.5) -> Column:

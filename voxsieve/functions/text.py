@@ -55,14 +55,26 @@ def has_cjk(text: Column) -> Column:
     return F.coalesce(text.rlike(CJK), F.lit(False))
 
 
-def language_of(lang: Column, phrase: Column, known: dict[str, str]) -> tuple[Column, Column]:
-    """(language, where from): a known spelling, else by the phrase's script, else missing."""
-    spelled = F.get(F.from_json(F.lit(None).cast("string"), "array<string>"), 0)
-    for a, b in known.items():
-        spelled = F.when(F.lower(F.trim(lang)) == a, b).otherwise(spelled)
+# Spellings of the two languages.
+LANGUAGES = {"zh": "zh", "cn": "zh", "chinese": "zh", "中文": "zh", "mandarin": "zh", "en": "en", "english": "en", "英文": "en"}
+
+
+def language_of(lang: Column, phrase: Column) -> tuple[Column, Column]:
+    """(language, where from): a known spelling, else by the phrase's script, else '' if there is no phrase."""
+    spelled = F.coalesce(*[F.when(F.lower(F.trim(lang)) == a, b) for a, b in LANGUAGES.items()])
     text = F.trim(F.coalesce(phrase, F.lit("")))
     guessed = F.when(has_cjk(text), "zh").when(text != "", "en")
-    return F.coalesce(spelled, guessed), F.when(spelled.isNotNull(), "index_lang").when(guessed.isNotNull(), "wake_text").otherwise("missing")
+    origin = F.when(spelled.isNotNull(), "index_lang").when(guessed.isNotNull(), "inferred_from_wake_text").otherwise("missing_wake_text")
+    return F.coalesce(spelled, guessed, F.lit("")), origin
+
+
+def stream_names(streams: Column) -> Column:
+    """The distinct stream names of a JSON object or list, in order; ``peak`` is ``original``. Null or unreadable JSON gives an empty array."""
+    listed = F.from_json(streams, "array<variant>")
+    name = lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) for k in ("stream", "name", "id")])).otherwise(F.try_variant_get(v, "$", "string"))
+    names = F.when(F.trim(streams).startswith("{"), F.json_object_keys(streams)).when(F.trim(streams).startswith("["), F.transform(listed, name))
+    plain = F.transform(F.coalesce(names, F.lit([]).cast("array<string>")), lambda n: F.when(F.trim(n).isin("peak", "original"), "original").otherwise(F.trim(n)))
+    return F.array_distinct(F.filter(plain, lambda n: n != ""))
 
 
 def edit_share(hyp: Column, ref: Column) -> Column:

@@ -116,11 +116,11 @@ def _order(prefer: bool) -> str:
     return f"CASE WHEN view = '{view}' THEN 0 ELSE 1 END, {slot}, stream, CASE WHEN stream = 'original' THEN 0 ELSE 1 END, candidate_id"
 
 
-def _chain(p: Policy) -> str:
+def _chain(p: Policy, source: str = "cand", cand: bool = True) -> str:
     """CTEs l0, l1, ... that each keep the rows that the next link leaves; ``last`` is the final pool."""
     part = "OVER (PARTITION BY group_key, role)"
     d = p.cer_close_delta
-    ctes = [f"r AS (SELECT * FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL)", f"l0 AS (SELECT * FROM r QUALIFY cer_route <= min(cer_route) {part} + {d + 1e-12!r})"]
+    ctes = [f"r AS (SELECT * FROM {source} WHERE validity = 'rankable' AND cer_route IS NOT NULL)", f"l0 AS (SELECT * FROM r QUALIFY cer_route <= min(cer_route) {part} + {d + 1e-12!r})"]
     near = lambda gap, m: f"({gap} < {m} - 1e-15 OR abs({gap}) <= 1e-12)"
     q = "CASE WHEN qkw_calibrated THEN q_kw END"
     ctes.append(
@@ -141,7 +141,16 @@ def _chain(p: Policy) -> str:
         f"near AS (SELECT group_key, role, count(*) AS n_cer_close FROM l0 GROUP BY ALL), "
         "win AS (SELECT ends.*, n_candidates, min_cer, n_cer_close FROM ends JOIN stats USING (group_key, role) JOIN near USING (group_key, role) WHERE nth = 1)"
     )
-    return f"WITH {CAND}, " + ",\n".join(ctes)
+    return (f"WITH {CAND}, " if cand else "WITH ") + ",\n".join(ctes)
+
+
+def _ranks(p: Policy, most: int) -> str:
+    """The winner of what earlier ranks left, ``most`` times."""
+    rounds = []
+    for k in range(1, most + 1):
+        gone = "".join(f" AND candidate_id NOT IN (SELECT candidate_id FROM w{i})" for i in range(1, k))
+        rounds.append(f"w{k} AS MATERIALIZED ({_chain(p, f'(SELECT * FROM cand WHERE true{gone})', False)} SELECT group_key, role, candidate_id, {k} AS stage_rank FROM win)")
+    return f"WITH {CAND}, " + ",\n".join(rounds) + " " + " UNION ALL ".join(f"SELECT * FROM w{k}" for k in range(1, most + 1))
 
 
 _GAIN = """CASE WHEN b.qkw_calibrated AND a.qkw_calibrated THEN b.q_kw - a.q_kw END"""
@@ -182,8 +191,8 @@ ORACLES = {
     "finite_filter": "SELECT row_id, cer_route FROM scored_candidates WHERE isfinite(cer_route)",
     "rankable_filter": f"WITH {CAND} SELECT candidate_id, role, cer_route FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL",
     "margin_pool": f"""WITH {CAND}, r AS (SELECT * FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL),
-      x AS (SELECT * FROM r QUALIFY CASE WHEN count(*) OVER w = count(nll) OVER w THEN nll - min(nll) OVER w < 0.05 - 1e-15 ELSE true END WINDOW w AS (PARTITION BY group_key, role))
-      SELECT group_key, role, candidate_id FROM x QUALIFY CASE WHEN count(*) OVER w = count(p_overlap) OVER w THEN p_overlap - min(p_overlap) OVER w < 0.05 - 1e-15 ELSE true END WINDOW w AS (PARTITION BY group_key, role)""",
+      x AS (SELECT * FROM r QUALIFY CASE WHEN count(*) OVER w = count(nll) OVER w THEN nll - min(nll) OVER w < 0.05 - 1e-15 ELSE true END)
+      SELECT group_key, role, candidate_id FROM x QUALIFY CASE WHEN count(*) OVER w = count(p_overlap) OVER w THEN p_overlap - min(p_overlap) OVER w < 0.05 - 1e-15 ELSE true END""".replace("OVER w", "OVER (PARTITION BY group_key, role)"),
     "stage_winner": f"{_chain(EXACT)} SELECT {_WIN_COLUMNS} FROM win",
     "stage_winner_close_cer": f"{_chain(CLOSE)} SELECT {_WIN_COLUMNS} FROM win",
     "view_reason": _chain(CLOSE)
@@ -195,6 +204,7 @@ ORACLES = {
       FROM win b LEFT JOIN raw a USING (group_key, role) LEFT JOIN enh e USING (group_key, role)""",
     "conservative_tiebreak": f"WITH {CAND} SELECT group_key, role, candidate_id AS first_id FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL QUALIFY row_number() OVER (PARTITION BY group_key, role ORDER BY {_order(False)}) = 1",
     "cer_rank": f"WITH {CAND} SELECT candidate_id, row_number() OVER (PARTITION BY group_key, role ORDER BY cer_route, candidate_id) AS cer_rank FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL",
+    "stage_rank": _ranks(CLOSE, 3),
     "availability": f"WITH {CAND} {_AVAILABLE}",
     "tie_gains": f"{_chain(CLOSE)}, {_SIDES} SELECT group_key, {_GAIN} AS q_kw_gain, NULL::DOUBLE AS keyword_gain, a.nll - b.nll AS nll_gain, NULL::DOUBLE AS speaker_gain FROM a FULL JOIN b USING (group_key)",
     "quality_gain": f"{_chain(CLOSE)}, {_SIDES} SELECT group_key, {_NOT_WORSE} AS not_worse, {_GAINS} AS gains FROM a JOIN b USING (group_key)",
