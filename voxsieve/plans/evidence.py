@@ -9,7 +9,7 @@ from voxsieve.functions import text as tx
 from voxsieve.functions.scalars import content_hash, cosine, tag_strip
 from voxsieve.operators import evidence as ev
 from voxsieve.operators import selection as sel
-from voxsieve.plans.selection import CAND
+from voxsieve.plans.selection import CAND, _chain
 from voxsieve.policy import CLOSE
 from voxsieve.sources.tables import table
 
@@ -203,6 +203,11 @@ ORACLES = {
       SELECT coalesce(content_class, 'all') AS content_class, bucket, count(*) AS n FROM d GROUP BY GROUPING SETS ((content_class, bucket), (bucket))""",
     "se_view_expand": f"""WITH {CAND} SELECT candidate_id, group_key, view, NULL AS parent_id, NULL AS parent_pcm FROM cand WHERE view = 'raw'
       UNION ALL SELECT replace(candidate_id, '-raw-', '-moss48k-'), group_key, 'moss48k', candidate_id, pcm_sha256 FROM cand WHERE view = 'raw' AND pcm_sha256 <> ''""",
+    "se_companion": _chain(CLOSE)
+    + """, s AS (SELECT candidate_id AS selected_id, group_key, pcm_sha256 AS selected_pcm FROM win WHERE view = 'raw'),
+      e AS (SELECT c.*, p.pcm_sha256 AS parent_pcm FROM cand c LEFT JOIN cand p ON p.candidate_id = c.raw_parent_candidate_id WHERE c.view = 'moss48k' AND c.source_wav IS NOT NULL)
+      SELECT selected_id, arg_min(candidate_id, (CASE WHEN validity = 'rankable' AND cer_route IS NOT NULL THEN 0 ELSE 1 END, coalesce(cer_route, 'inf'::DOUBLE), candidate_id)) AS companion_id
+      FROM s JOIN e ON e.group_key = s.group_key AND (e.raw_parent_candidate_id = selected_id OR (selected_pcm <> '' AND e.parent_pcm = selected_pcm)) GROUP BY selected_id""",
     "embedding_cosine": "SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "asr_ab_audit": r"""WITH r AS (SELECT score_key, score_kind, arg_min(regexp_replace(lower(hyp), '[^0-9a-z一-鿿]', '', 'g'), row_id) AS t FROM sidecar WHERE score_key <> '' GROUP BY ALL),
       j AS (SELECT a.t AS a, b.t AS b FROM (SELECT * FROM r WHERE score_kind = 'nll') a FULL JOIN (SELECT * FROM r WHERE score_kind = 'calibrated_qkw') b USING (score_key))
