@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxsieve.functions.scalars import finite, spaced_content_hash
@@ -35,9 +35,8 @@ def crop_specs(occ: DataFrame, policy: CropPolicy = CropPolicy(), pads: dict[str
     Sample positions are rounded half to even and kept inside the recording; cuts that are too short or too long fall out.
     """
     ok = valid_occurrences(occ)
-    w = Window.partitionBy("source")
-    best = w.orderBy(F.coalesce(finite(F.col("target_score")), F.lit(0.0)).desc(), F.col("end_sec") - F.col("start_sec"), "start_sec")
-    ranked = ok.withColumns({"_n": F.count(F.lit(1)).over(w), "_r": F.row_number().over(best)}).where("_r = 1")
+    order = F.struct(-F.coalesce(finite(F.col("target_score")), F.lit(0.0)), F.col("end_sec") - F.col("start_sec"), F.col("start_sec"))
+    ranked = ok.groupBy("source").agg(F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("start_sec", "end_sec", "sample_rate", "n_samples"), order).alias("o")).select("source", "_n", "o.*")
     if not policy.several:
         ranked = ranked.where("_n = 1")
     table = F.array(*[F.struct(F.lit(k).alias("view"), F.lit(a).alias("left"), F.lit(b).alias("right")) for k, (a, b) in (pads or PADS).items()])

@@ -12,7 +12,7 @@ from voxsieve.operators import crops
 from voxsieve.operators import reporting as rep
 from voxsieve.operators import selection as sel
 from voxsieve.operators.compaction import absolute_path
-from voxsieve.operators.ordered import numbered
+from voxsieve.operators.ordered import exact_quantile, numbered
 from voxsieve.plans.selection import _DECIDED, CAND, _chain
 from voxsieve.policy import CLOSE
 from voxsieve.sources.tables import table
@@ -140,15 +140,10 @@ def duration_bucket(spark: SparkSession, root: str) -> DataFrame:
 
 
 def duration_tolerance(spark: SparkSession, root: str) -> DataFrame:
-    new, old = F.lead("value").over(_by_user()), F.col("value")
-    d = table(spark, root, "events").select("event_id", old.alias("old"), new.alias("new")).where("new is not null")
-    return d.select("event_id", (F.abs(F.col("new") - F.col("old")) <= F.greatest(F.lit(0.1), F.col("old") * 0.02)).alias("within"))
-
-
-def _by_user():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("user_id").orderBy("ts", "event_id")
+    e = numbered(table(spark, root, "events").select("user_id", "ts", "event_id", "value"), ["user_id"], "ts", ["event_id"], "no")
+    later = e.select("user_id", (F.col("no") - 1).alias("no"), F.col("value").alias("new"))
+    gap = F.abs(F.col("new") - F.col("value"))
+    return e.join(later, ["user_id", "no"]).select("event_id", (gap <= F.greatest(F.lit(0.1), F.col("value") * 0.02)).alias("within"))
 
 
 def longest_run(spark: SparkSession, root: str) -> DataFrame:
@@ -159,7 +154,7 @@ def longest_run(spark: SparkSession, root: str) -> DataFrame:
 def frame_energy_metrics(spark: SparkSession, root: str) -> DataFrame:
     e = numbered(table(spark, root, "events").select("user_id", "ts", "event_id", "value"), ["user_id"], "ts", ["event_id"], "no")
     frames = e.groupBy("user_id", F.floor((F.col("no") - 1) / 4).alias("frame")).agg(F.avg(F.col("value") * F.col("value")).alias("power"))
-    low = frames.groupBy("user_id").agg(F.percentile("power", F.lit(0.2)).alias("p20"))
+    low = exact_quantile(frames, ["user_id"], "power", 0.2, "p20")
     d = frames.join(low, "user_id").withColumn("active", F.col("power") > F.greatest(F.col("p20") * 2, F.lit(1e-7)))
     s = d.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_frames"), F.avg(F.col("active").cast("int")).alias("share"), F.avg(F.when(F.col("active"), F.col("power"))).alias("pa"), F.avg(F.when(~F.col("active"), F.col("power"))).alias("pn"))
     snr = F.when(F.col("pn") > 1e-8, 10 * F.log10(F.greatest(F.col("pa") - F.col("pn"), F.lit(1e-8)) / (F.col("pn") + 1e-8)))
