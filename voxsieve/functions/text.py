@@ -21,15 +21,15 @@ ALIASES = {
 CJK = r"[\x{4E00}-\x{9FFF}]"
 
 
-@F.pandas_udf("string")
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
-
-
 def compatible_form(text: Column) -> Column:
     """NFKC of a text. Only texts beyond ASCII are changed; null becomes ''."""
+
+    @F.pandas_udf("string")
+    def nfkc(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
     t = F.coalesce(text, F.lit(""))
-    return F.when(t.rlike(r"^\p{ASCII}*$"), t).otherwise(_nfkc(t))
+    return F.when(t.rlike(r"^\p{ASCII}*$"), t).otherwise(nfkc(t))
 
 
 def without_punctuation(text: Column) -> Column:

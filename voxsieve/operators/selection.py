@@ -71,8 +71,8 @@ class Link:
     keep: Column
 
 
-def _pool(value: Column, alive: Column = F.col("alive")) -> Column:
-    return F.when(alive, value)
+def _pool(value: Column) -> Column:
+    return F.when(F.col("alive"), value)
 
 
 def metric_link(name: str, margin: float, higher: bool) -> Link:
