@@ -29,7 +29,7 @@ def compatible_form(text: Column) -> Column:
         return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
     t = F.coalesce(text, F.lit(""))
-    return F.when(t.rlike(r"^\p{ASCII}*$"), t).otherwise(nfkc(t))
+    return F.when(t.rlike(r"^\p{ASCII}*\z"), t).otherwise(nfkc(t))
 
 
 def without_punctuation(text: Column) -> Column:

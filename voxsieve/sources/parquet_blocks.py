@@ -135,7 +135,7 @@ class BlockWriter:
             raise IncompatibleBlocks("another schema")
         elif 5 in self.footer and footer.get(5) != self.footer[5]:
             del self.footer[5]  # only pairs that hold for all blocks may stay
-        groups = footer[4][1][1]
+        groups = [g for g in footer[4][1][1] if g[3][1]]  # blocks without rows have nothing to copy
         for group in groups:
             for chunk in group[1][1][1]:
                 if 1 in chunk or 8 in chunk or 9 in chunk or 3 not in chunk:
