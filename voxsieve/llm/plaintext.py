@@ -28,9 +28,9 @@ BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
 #: Characters without any effect on the eye: format and control characters, selectors, fillers.
 INVISIBLE = r"[\p{Cf}[\p{Cc}&&[^\t-\r\x1C-\x1F\x85]]\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{3164}\x{FE00}-\x{FE0F}\x{FFA0}\x{E0100}-\x{E01EF}]"
 #: Texts of only these characters are plain already: they neither map nor combine.
-INERT = r"^[\x20-\x7E\x{A1}-\x{A7}\x{AB}\x{B0}\x{B1}\x{BB}\x{BF}-\x{FF}\x{2013}\x{2014}\x{2018}-\x{201D}\x{3001}-\x{3003}\x{3008}-\x{3011}\x{4E00}-\x{9FFF}]*$"
+INERT = r"^[\x20-\x7E\x{A1}-\x{A7}\x{AB}\x{B0}\x{B1}\x{BB}\x{BF}-\x{FF}\x{2013}\x{2014}\x{2018}-\x{201D}\x{3001}-\x{3003}\x{3008}-\x{3011}\x{4E00}-\x{9FFF}]*\z"
 #: Words (with their marks) and what stands between them, in pieces of bounded length.
-PIECES = r"[\p{L}\p{M}\p{N}]{1,512}\p{M}*|[^\p{L}\p{M}\p{N}]{1,512}\p{M}*"
+PIECES = r"[\p{L}\p{M}\p{N}]{1,512}[\p{M}\x{FF9E}\x{FF9F}]*|[^\p{L}\p{M}\p{N}]{1,512}[\p{M}\x{FF9E}\x{FF9F}]*"
 SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE")
 
 
@@ -94,7 +94,7 @@ def _composed(points: Column, table: Column) -> Column:
 
     def step(s: Column, x: Column) -> Column:
         h, c = s["head"], x["cp"]
-        pair = F.when((x["ccc"] > 0) | c.between(0x0B00, 0x11FF) | (c > 0x11000), F.try_element_at(table, F.shiftleft(h.cast("long"), 21) + c))
+        pair = F.when((x["ccc"] > 0) | c.between(0x0900, 0x11FF) | (c > 0x11000), F.try_element_at(table, F.shiftleft(h.cast("long"), 21) + c))
         lv = F.when(h.between(0x1100, 0x1112) & c.between(0x1161, 0x1175), F.lit(0xAC00) + ((h - 0x1100) * 21 + (c - 0x1161)) * 28)
         lvt = F.when(h.between(0xAC00, 0xD7A3) & ((h - 0xAC00) % 28 == 0) & c.between(0x11A8, 0x11C2), h + (c - 0x11A7))
         free = (h >= 0) & F.when(x["ccc"] > 0, (F.size(s["tail"]) == 0) | (s["last"] < x["ccc"])).otherwise(F.size(s["tail"]) == 0)
@@ -132,7 +132,7 @@ def plain_forms(rows: DataFrame, text: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("pos", "sub", F.col("p.cp").alias("cp"), F.col("p.ccc").alias("ccc"), F.col("p.look").alias("look")))).alias("all"),
         *[F.count_if(F.col("p.kind") == k).alias(f"n_{k}") for k in "lswo"],
     )
-    has_marks = F.exists("all", lambda x: (x["ccc"] > 0) | x["cp"].between(0x0B00, 0x11FF) | (x["cp"] > 0x11000))
+    has_marks = F.exists("all", lambda x: (x["ccc"] > 0) | x["cp"].between(0x0900, 0x11FF) | (x["cp"] > 0x11000))
     starts = F.transform("all", lambda x: F.when(x["ccc"] == 0, 1).otherwise(0))
     running = F.aggregate(starts, F.expr("cast(array() as array<int>)"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + x)))
     ordered = F.sort_array(F.zip_with("all", running, lambda x, s: F.struct(s.alias("seg"), x["ccc"].alias("ccc"), x["pos"].alias("pos"), x["sub"].alias("sub"), x["cp"].alias("cp"), x["look"].alias("look"))))
@@ -158,7 +158,7 @@ def plain_forms(rows: DataFrame, text: str) -> DataFrame:
 
 
 def changed_rows(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` whose text differs from its plain form, with the column ``plain``.
+    """``rows`` whose text differs from its plain form, with the column ``plain`` (which replaces one of that name).
 
     The lookup of plain forms is co-partitioned with the rows by the text's digest; texts that fill a large part of the rows are salted.
     """
@@ -169,4 +169,4 @@ def changed_rows(rows: DataFrame, text: str) -> DataFrame:
     hot = heavy_keys(odd, F.col("_tid"))
     left = odd.withColumn("_salt", salt_of(F.col("_tid"), F.rand(17), hot, 64))
     right = forms.withColumn("_salt", F.explode(salts_for(F.col("tid"), hot, 64))).withColumnsRenamed({"tid": "_tid", "plain": "_plain"})
-    return left.join(right, ["_tid", "_salt"]).where(F.col("_plain") != F.col(text)).select(*rows.columns, F.col("_plain").alias("plain"))
+    return left.join(right, ["_tid", "_salt"]).where(F.col("_plain") != F.col(text)).select(*[c for c in rows.columns if c.lower() != "plain"], F.col("_plain").alias("plain"))
