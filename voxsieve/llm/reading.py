@@ -36,6 +36,11 @@ def units(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\x{3400}-\x{9FFF}]|[\p{L}&&[^\x{3400}-\x{9FFF}]][\p{L}\p{M}'’&&[^\x{3400}-\x{9FFF}]]*"), 0)
 
 
+def _quoted(words: list[str]) -> str:
+    """The words as SQL literals; one expression text costs less than thousands of calls into the JVM."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
 def common_units(documents: DataFrame, n: int = COMMON_WORDS) -> list[str]:
     """The ``n`` words or characters that occur in most documents, counted over all of them; ties by code point."""
     each = documents.where("text is not null").select(F.explode(F.array_distinct(units(_clean(F.col("text"))))).alias("w"))
@@ -49,32 +54,29 @@ def with_features(documents: DataFrame, common: list[str]) -> DataFrame:
     Everything stays inside the JVM and in place. Empty and null texts have script null and features 0.
     """
     t = _clean(F.coalesce(F.col("text"), F.lit("")))
-    d = documents.withColumns({"_t": t, "_u": units(t)})
-    n = F.greatest(F.size("_u"), F.lit(1)).cast("double")
-    zh = F.regexp_count("_t", F.lit(r"[\x{3400}-\x{9FFF}]"))
-    d = d.withColumns({"_n": n, "script": F.when(F.size("_u") == 0, None).when(zh * 2 > F.size("_u"), "zh").otherwise("latin")})
-    is_zh = F.col("script") == "zh"
     count = lambda p: F.regexp_count("_t", F.lit(p)).cast("double")
-    sentences = F.greatest(count(r"[.!?。！？]+(?=\s|$|[\"'”’)\x{3400}-\x{9FFF}])"), F.lit(1.0))
-    links = F.when(is_zh, count("|".join(LINKS_ZH))).otherwise(count(r"(?i)\b(?:" + "|".join(LINKS_EN) + r")\b"))
-    abstract = F.when(is_zh, count("[" + "".join(ABSTRACT_ZH) + "]")).otherwise(count(rf"(?i)\p{{L}}{{3,}}{ABSTRACT_EN}\b"))
-    runs = F.greatest(count(r"[\x{3400}-\x{9FFF}]+"), F.lit(1.0))
-    letters = F.when(is_zh, zh / runs).otherwise(count(r"\p{L}") / F.col("_n"))
-    kinds = F.array_distinct("_u")
-    beyond = lambda words: F.size(F.array_except(kinds, F.lit(words or [""]))) / F.greatest(F.size(kinds), F.lit(1))
+    some = lambda keep, of="_u": F.size(F.filter(of, keep)).cast("double")
+    # each step's columns are used several times in the next, so the optimiser keeps them apart and works them out once
+    d = documents.withColumn("_t", t).withColumn("_u", units(F.col("_t")))
+    d = d.withColumns({"_n": F.greatest(F.size("_u"), F.lit(1)).cast("double"), "_zh": some(lambda w: w.between("\u3400", "\u9fff")), "_kinds": F.array_distinct("_u"), "_s": F.greatest(count(r"[.!?。！？]+(?=\s|$|[\"'”’)\x{3400}-\x{9FFF}])"), F.lit(1.0))})
+    d = d.withColumn("script", F.when(F.size("_u") == 0, None).when(F.col("_zh") * 2 > F.size("_u"), "zh").otherwise("latin"))
+    is_zh, n, s = F.col("script") == "zh", F.col("_n"), F.col("_s")
+    d = d.withColumn("_runs", F.when(is_zh, F.greatest(count(r"[\x{3400}-\x{9FFF}]+"), F.lit(1.0))).otherwise(F.lit(1.0)))
+    runs, k = F.col("_runs"), F.greatest(F.size("_kinds"), F.lit(1)).cast("double")
+    beyond = lambda words: F.expr(f"cast(size(filter(_kinds, w -> w not in ({_quoted(words or [''])}))) as double)") / k
     f = F.array(
-        F.log1p(F.col("_n") / sentences),
-        count(r"[,;:，；、：]") / sentences,
-        links / sentences,
-        letters,
-        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{12,}") / runs).otherwise(count(rf"\p{{L}}{{{LONG},}}") / F.col("_n")),
-        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{20,}") / runs).otherwise(count(rf"\p{{L}}{{{VERY_LONG},}}") / F.col("_n")),
-        abstract / F.col("_n"),
+        F.log1p(n / s),
+        count(r"[,;:，；、：]") / s,
+        F.when(is_zh, count("|".join(LINKS_ZH))).otherwise(some(lambda w: w.isin(LINKS_EN))) / s,
+        F.when(is_zh, F.col("_zh") / runs).otherwise(F.length(F.array_join("_u", "")) / n),
+        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{12,}") / runs).otherwise(some(lambda w: F.length(w) >= LONG) / n),
+        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{20,}") / runs).otherwise(some(lambda w: F.length(w) >= VERY_LONG) / n),
+        F.when(is_zh, some(lambda w: w.isin(ABSTRACT_ZH))).otherwise(some(lambda w: (F.length(w) >= 7) & w.rlike(ABSTRACT_EN + "$"))) / n,
         beyond(common[:EVERYDAY_WORDS]),
         beyond(common),
-        F.size(kinds) / F.sqrt(F.col("_n")),
+        k / F.sqrt(n),
     )
-    return d.withColumn("f", F.transform(f, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))).drop("_t", "_u", "_n")
+    return d.withColumn("f", F.transform(f, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))).drop("_t", "_u", "_n", "_zh", "_kinds", "_s", "_runs")
 
 
 @dataclass(frozen=True)
