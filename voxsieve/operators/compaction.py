@@ -111,7 +111,8 @@ def redelivered(rows: DataFrame, row_id: str = "row_id", source: str = "source_w
     more than one row are looked up again, with hot records salted. Rows with a null path or digest are never
     repeats; equal ids count once.
     """
-    keyed = rows.select(F.col(row_id).alias("row_id"), record_key(F.col(source), F.col(digest)).alias("key")).where("key is not null")
+    named = rows.where(F.col(source).isNotNull() & F.col(digest).isNotNull())
+    keyed = named.select(F.col(row_id).alias("row_id"), record_key(F.col(source), F.col(digest)).alias("key"))
     firsts = keyed.groupBy("key").agg(F.min("row_id").alias("first_row_id"), F.max("row_id").alias("_last")).where("_last > first_row_id").drop("_last")
     if hot is None:
         hot = heavy_keys(keyed, F.col("key"))

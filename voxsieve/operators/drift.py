@@ -52,7 +52,8 @@ def readable(lines: DataFrame, body: str = "body") -> DataFrame:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     text = F.trim(F.regexp_replace(F.col(body), r"^[\s\x{FEFF}]+|\s+$", ""))
     whole = F.when(text.startswith("{") & text.endswith("}"), F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
-    parsed = lines.withColumn("_all", whole).where("_all is not null and variant_get(_all, '$[1]') is null")
+    # exploding an array of one keeps the optimiser from parsing once per use
+    parsed = lines.withColumn("_all", F.explode(F.array(whole))).where("_all is not null and variant_get(_all, '$[1]') is null")
     return parsed.withColumn("doc", F.variant_get("_all", "$[0]", "variant")).where("schema_of_variant(doc) like 'OBJECT%'").drop("_all")
 
 

@@ -25,13 +25,15 @@ TIE = 1e-12
 def candidates(scored: DataFrame) -> DataFrame:
     """The candidates in force, flat: per ``candidate_id`` the undeleted row with the smallest ``row_id``.
 
+    The rank filter becomes a group limit, so each task passes on one copy of a candidate to the shuffle, with the columns that are asked for.
     A missing ``group_key`` is made up from split and uid. Struct fields of ``audio_quality`` become columns, metrics that the table lacks are
     null, non-finite ones too. Rows without a candidate id are left out.
     """
     quality = scored.schema["audio_quality"].dataType.names if "audio_quality" in scored.columns else []
     live = scored.where("deleted_at is null and candidate_id is not null")
-    kept = [c for c in scored.columns if c not in ("audio_quality", "candidate_id")]
-    one = live.groupBy("candidate_id").agg(F.min_by(F.struct(*kept, *[F.col(f"audio_quality.{q}").alias(q) for q in quality]), "row_id").alias("r")).select("candidate_id", "r.*")
+    nth = F.row_number().over(Window.partitionBy("candidate_id").orderBy("row_id"))
+    kept = [c for c in scored.columns if c != "audio_quality"]
+    one = live.withColumn("_nth", nth).where("_nth = 1").select(*kept, *[F.col(f"audio_quality.{q}").alias(q) for q in quality])
     there = set(one.columns)
     metrics = {m: finite(F.col(m)) if m in there else F.lit(None).cast("double") for m in METRICS}
     return one.withColumns(metrics | {"group_key": F.coalesce("group_key", F.concat("split", F.lit("\0"), "uid"))})
@@ -124,6 +126,7 @@ def eliminate(pool: DataFrame, keys: list[str], chain: list[Link], hot: list | N
     scratch = sorted({a for link in chain for a in link.aggregates if a.startswith("_")})
     usual = d.where(~F.col(hot_key).isin(hot) | F.col(hot_key).isNull()) if hot else d
     w = Window.partitionBy(*keys)
+    usual = usual.repartition(hot_key) if hot_key in keys else usual
     for link in chain:
         usual = usual.withColumns({n: a.over(w) for n, a in link.aggregates.items()}).withColumn("alive", F.col("alive") & link.keep)
     usual = usual.drop(*scratch)
