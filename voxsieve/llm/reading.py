@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents per script used to fit; of more, those with the smallest hash are taken.
-MOST_LABELLED = 1200
+MOST_LABELLED = 1000
 #: Size of the list of common words (and characters) that vocabulary features refer to.
 COMMON_WORDS = 2000
 #: The head of that list, the words that any text may use.
@@ -144,23 +144,16 @@ def graded(documents: DataFrame, labels: DataFrame, common: list[str], most: int
     from pyspark.sql import Window
 
     level = labels.where("reading_level is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("reading_level").alias("_level"))
-    rows = with_features(documents.select("doc_id", "text").join(level, "doc_id"), common).where("script is not null")
+    rows = with_features(documents.select("doc_id", "text").join(level, "doc_id"), common)
     first = Window.partitionBy("script").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = rows.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most).orderBy("script", "_r").select("script", "f", "_level").collect()
     out = {}
-    for script in sorted({r["script"] for r in rows}):
+    for script in sorted({r["script"] for r in rows} - {None}):  # tested here: as a filter it would be worked out on all documents
         mine = [r for r in rows if r["script"] == script]
         out[script] = np.array([r["f"] for r in mine]), np.array([r["_level"] for r in mine])
     return out
 
 
-def _interpolated(score: Column, m: Ranker) -> Column:
-    xs, ys = F.lit(m.xs), F.lit(m.ys)
-    i = F.size(F.filter(xs, lambda x: x <= score))
-    x0, y0, x1, y1 = F.get(xs, i - 1), F.get(ys, i - 1), F.get(xs, i), F.get(ys, i)
-    return F.when(i == 0, F.lit(m.ys[0])).when(i == len(m.xs), F.lit(m.ys[-1])).otherwise(y0 + (y1 - y0) * (score - x0) / (x1 - x0))
-
-
 def reading_levels(documents: DataFrame, labels: DataFrame, common: list[str] | None = None) -> DataFrame:
     """``documents`` with ``script, score, level_estimate`` (1 easy to 5 hard) and ``level``, the rounded estimate.
 
@@ -170,14 +163,22 @@ def reading_levels(documents: DataFrame, labels: DataFrame, common: list[str] |
     common = common_units(documents) if common is None else common
     models = {s: fit(x, y) for s, (x, y) in graded(documents, labels, common).items()}
     d = with_features(documents, common)
-    score = estimate = F.lit(None).cast("double")
-    for script in ("latin", "zh") if models else ():
-        m = models.get(script) or next(iter(models.values()))
-        terms = F.zip_with(F.zip_with("f", F.lit(m.mean), lambda a, b: a - b), F.lit([w / s for w, s in zip(m.weights, m.scale, strict=True)]), lambda a, b: a * b)
-        value = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-        score = F.when(F.col("script") == script, value).otherwise(score)
-        estimate = F.when(F.col("script") == script, _interpolated(value, m)).otherwise(estimate)
-    return d.withColumns({"score": score, "level_estimate": F.round(estimate, 6), "level": F.round(estimate).cast("int")}).drop("f")
+    pick = lambda of: F.coalesce(*[F.when(F.col("script") == s, of(models.get(s) or next(iter(models.values())))) for s in ("latin", "zh")]) if models else F.lit(None)
+
+    def score(m: Ranker) -> Column:
+        weights = F.lit([w / s for w, s in zip(m.weights, m.scale, strict=True)])
+        terms = F.zip_with(F.zip_with("f", F.lit(m.mean), lambda a, b: a - b), weights, lambda a, b: a * b)
+        return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+
+    # step by step, so that nothing is worked out once per use
+    d = d.withColumn("score", pick(score).cast("double"))
+    d = d.withColumn("_i", pick(lambda m: F.size(F.filter(F.lit(m.xs), lambda x: x <= F.col("score")))).cast("int"))
+    corner = lambda of, step: pick(lambda m: F.get(F.lit(of(m)), F.greatest(F.lit(0), F.least(F.lit(len(m.xs) - 1), F.col("_i") + step)))).cast("double")
+    d = d.withColumns({"_x0": corner(lambda m: m.xs, -1), "_y0": corner(lambda m: m.ys, -1), "_x1": corner(lambda m: m.xs, 0), "_y1": corner(lambda m: m.ys, 0)})
+    slope = F.coalesce(F.try_divide(F.col("_y1") - F.col("_y0"), F.col("_x1") - F.col("_x0")), F.lit(0.0))
+    inside = F.greatest(F.least(F.col("score"), F.col("_x1")), F.col("_x0"))
+    d = d.withColumn("level_estimate", F.when(F.col("score").isNotNull(), F.round(F.col("_y0") + slope * (inside - F.col("_x0")), 6)))
+    return d.withColumn("level", F.round("level_estimate").cast("int")).drop("f", "_i", "_x0", "_y0", "_x1", "_y1")
 
 
 def profile(levels: DataFrame, by: list[str]) -> DataFrame:
