@@ -20,6 +20,8 @@ _WORD = re.compile(rf"[{_CJK}]|[^\W_{_CJK}]+")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*\n\s*(?=[^\W\d_])|(?<=\w)[-‐‑](?=\w)")
 _APOSTROPHE = re.compile(r"['’ʼ‘`´]")
 _IS_CJK = re.compile(rf"[{_CJK}]")
+#: Marks and format characters, which never count.
+_UNSEEN = {n: None for n in range(0x80, 0x110000) if unicodedata.category(chr(n)) in ("Mn", "Me", "Cf")}
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,7 @@ def tokens(text: str) -> list[str]:
     A word broken by a hyphen at a line's end is one word; apostrophes and hyphens inside a word fall out.
     """
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) not in ("Mn", "Me", "Cf") or c in "‘’")
+        text = unicodedata.normalize("NFKD", text).translate(_UNSEEN)
     text = _HYPHEN.sub("", _APOSTROPHE.sub("", text))
     return _WORD.findall(text.casefold())
 
