@@ -136,6 +136,10 @@ def test_audio_features(spark, tmp_path):
     assert sorted((r.uid, r.stream, r.path.rpartition("_")[2]) for r in rec.collect()) == [("u_1", "original", "peak.wav"), ("u_1", "spk1", "spk1.wav"), ("u_2", "spk1", "spk1.wav")]
     states = lambda: sorted(r.status for r in audio.store_by_content(rec, f"file://{tmp_path}/store").collect())
     assert states()[-1] == "undecodable" and states() == ["hit", "hit", "undecodable"]
+    cuts = rec.where("stream = 'spk1'").select("path", "content", F.lit("tight").alias("view"), F.lit(100).alias("start_sample"), F.lit(500).alias("end_sample"))
+    cut = sg.cut_audio(cuts, fade_ms=5).collect()
+    part, _ = sg.decode_wav(bytes(cut[0].content))
+    assert len(cut) == 1 and len(part) == 400 and part[0] == 0 and cut[0].pcm_sha256 == sg.pcm_digest(part, 16_000)
     feats = {r.path.rpartition("/")[2]: r for r in sg.audio_features(rec).collect()}
     assert feats["u_2_spk1.wav"].fatal_invalid and feats["u_1_spk1.wav"].pcm_sha256 == sg.pcm_digest(x, rate)
     np.save(tmp_path / "a.npy", logp([[1, 9], [9, 1]]))
@@ -158,6 +162,11 @@ def test_calibration(spark):
         assert abs(((p - y) * z).sum() + 1e-4 * m.slope) < 1e-6 and abs((p - y).sum()) < 1e-6
     got = df.select(cal.calibrated(F.col("s"), F.col("lang"), models).alias("p")).where("p is not null")
     assert got.where("p < 0 or p > 1").count() == 0 and got.count() == 240
+    document = cal.to_document(models, "abc")
+    assert cal.from_document(document) == models
+    document["models"]["en"]["intercept"] += 1
+    with pytest.raises(cal.CalibrationError):
+        cal.from_document(document)
     with pytest.raises(cal.CalibrationError):
         cal.fit_logistic(df.where("y = 1"), "lang", "s", "y")
     with pytest.raises(cal.CalibrationError):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxsieve.functions.lineage import json_digest
 from voxsieve.functions.scalars import finite, sigmoid
 
 
@@ -76,3 +77,20 @@ def calibrated(score: Column, lang: Column, models: dict[str, Model]) -> Column:
         p = sigmoid(F.lit(m.slope) * (x - m.mean) / m.scale + m.intercept)
         out = p if name == "global" else F.when(lang == name, p).otherwise(out)
     return out
+
+
+def to_document(models: dict[str, Model], source_digest: str, counts: dict[str, dict[str, int]] | None = None) -> dict:
+    """The models as a JSON document that carries the digest of its own content."""
+    body = {"source_sha256": source_digest, "models": {k: asdict(m) for k, m in sorted(models.items())}, "counts": counts or {}}
+    return body | {"calibrator_hash": json_digest(body)}
+
+
+def from_document(document: dict) -> dict[str, Model]:
+    """The models of :func:`to_document`; raises CalibrationError if the content was changed or a scale isn't positive."""
+    body = {k: v for k, v in document.items() if k != "calibrator_hash"}
+    if json_digest(body) != document.get("calibrator_hash"):
+        raise CalibrationError("the document was changed after it was written")
+    models = {k: Model(**m) for k, m in body["models"].items()}
+    if not models or any(m.scale <= 0 for m in models.values()):
+        raise CalibrationError("no models, or a scale that isn't positive")
+    return models

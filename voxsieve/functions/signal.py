@@ -107,6 +107,35 @@ def denoised(x: np.ndarray, rate: int, size: int = 512, hop: int = 128, floor: f
     return np.where(weight > 1e-8, out / np.maximum(weight, 1e-8), x).astype(np.float32)
 
 
+def faded(x: np.ndarray, rate: int, milliseconds: float) -> np.ndarray:
+    """A linear fade at both ends, each at most half of the samples."""
+    y = np.array(x, np.float32)
+    n = min(round(rate * milliseconds / 1000), len(y) // 2)
+    if n > 0:
+        ramp = np.linspace(0, 1, n, dtype=np.float32)
+        y[:n] *= ramp
+        y[-n:] *= ramp[::-1]
+    return y
+
+
+def cut_audio(cuts: DataFrame, fade_ms: float = 0.0) -> DataFrame:
+    """``path, view, pcm_sha256, content`` of cuts (``path, content, view, start_sample, end_sample``) as WAV files; cuts of unreadable files fall out."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, content, view, a, b in zip(*(pdf[c] for c in ("path", "content", "view", "start_sample", "end_sample")), strict=True):
+                try:
+                    x, rate = decode_wav(bytes(content))
+                except (ValueError, EOFError, wave.Error):
+                    continue
+                data = encode_wav(faded(x[a:b], rate, fade_ms), rate)
+                rows.append((path, view, pcm_digest(*decode_wav(data)), data))
+            yield pd.DataFrame(rows, columns=["path", "view", "pcm_sha256", "content"])
+
+    return cuts.select("path", "content", "view", "start_sample", "end_sample").mapInPandas(work, "path string, view string, pcm_sha256 string, content binary")
+
+
 @dataclass(frozen=True)
 class Alignment:
     align_logp_sum: float

@@ -92,6 +92,13 @@ def unmatched_keys(candidates: DataFrame, m: DataFrame) -> DataFrame:
     return candidates.where(F.col("score_key").isNotNull()).join(m.select("row_id"), "row_id", "left_anti").select("score_key").distinct()
 
 
+def backfilled(rows: DataFrame, manifest: DataFrame, key: str, fields: list[str], row_id: str = "row_id") -> DataFrame:
+    """``rows`` with null ``fields`` filled from ``manifest`` (one row per ``key``); hot keys are salted."""
+    known = manifest.select(key, *[F.col(f).alias(f"_m_{f}") for f in fields])
+    met = salted_left_join(rows, known, key, row_id, heavy_keys(rows, F.col(key)))
+    return met.select(*[F.coalesce(c, f"_m_{c}").alias(c) if c in fields else F.col(c) for c in rows.columns])
+
+
 def probability_contract(candidates: DataFrame, sidecar: DataFrame, accepted: str) -> DataFrame:
     """Per distinct score key the first fault of its probability evidence: ``missing, kind, hash, range`` or ``ok``."""
     keys = candidates.where(F.col("score_key").isNotNull()).groupBy("score_key").agg(F.min("row_id").alias("row_id"))

@@ -118,3 +118,14 @@ def runs(df: DataFrame, keys: list[str], index: str, active: Column) -> DataFram
     starts = seen.select(*keys, index, F.when(F.coalesce(F.col(f"prev_{index}") != F.col(index) - 1, F.lit(True)), F.col(index)).alias("start"))
     tied = neighbours(starts, keys, index, "start").withColumn("start", F.coalesce("start", "last_start"))
     return tied.groupBy(*keys, "start").agg(F.count(F.lit(1)).alias("length"))
+
+
+def false_accepts(far: Column, rr: Column) -> Column:
+    """The false-accept rate, given as such or as the rejection rate."""
+    return F.coalesce(far, 1 - rr)
+
+
+def pair_improved(frr: Column, far: Column, base_frr: Column, base_far: Column) -> Column:
+    """One of both rates better and none worse; false where a rate is missing."""
+    worse, better = (frr > base_frr + TIE) | (far > base_far + TIE), (frr < base_frr - TIE) | (far < base_far - TIE)
+    return F.coalesce(better & ~worse, F.lit(False))

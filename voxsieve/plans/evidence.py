@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxsieve.functions import text as tx
-from voxsieve.functions.scalars import content_hash, cosine, tag_strip
+from voxsieve.functions import scalars as sc
+from voxsieve.functions.scalars import content_hash, cosine
 from voxsieve.operators import evidence as ev
 from voxsieve.operators import selection as sel
 from voxsieve.plans.selection import CAND, _chain
@@ -84,6 +85,27 @@ def text_errors(spark: SparkSession, root: str) -> DataFrame:
     return tx.text_errors(table(spark, root, "sidecar").select("row_id", "hyp", "wake_text"), "hyp", "wake_text").drop("hyp", "wake_text")
 
 
+def cer_char(spark: SparkSession, root: str) -> DataFrame:
+    return text_errors(spark, root).select("row_id", "cer_char")
+
+
+def cer_alias_min(spark: SparkSession, root: str) -> DataFrame:
+    return text_errors(spark, root).select("row_id", "metric", "alias_hit", "cer_alias", "cer_route")
+
+
+def wake_coverage(spark: SparkSession, root: str) -> DataFrame:
+    return text_errors(spark, root).select("row_id", "wake_coverage", "core_hit")
+
+
+def extra_ratio(spark: SparkSession, root: str) -> DataFrame:
+    return text_errors(spark, root).select("row_id", "extra_ratio")
+
+
+def alignment_normalise(spark: SparkSession, root: str) -> DataFrame:
+    c = _c(spark, root).select("score_key", "pcm_sha256", "wake_text", "lang").where("score_key is not null").groupBy("score_key").agg(*[F.min(f).alias(f) for f in ("pcm_sha256", "wake_text", "lang")])
+    return ev.backfilled(table(spark, root, "sidecar").select("row_id", "score_key", "pcm_sha256", "wake_text", "lang"), c, "score_key", ["pcm_sha256", "wake_text", "lang"])
+
+
 def distinct_feature_reuse(spark: SparkSession, root: str) -> DataFrame:
     s = table(spark, root, "sidecar")
     return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct("hyp", "wake_text")).alias("n_pairs"), F.count_distinct("pcm_sha256").alias("n_audio"))
@@ -152,15 +174,15 @@ def asr_ab_audit(spark: SparkSession, root: str) -> DataFrame:
     return both.agg(F.count_if(has_a & ~has_b).alias("only_a"), F.count_if(~has_a & has_b).alias("only_b"), F.count_if(has_a & has_b).alias("in_both"), F.count_if(F.col("a") == F.col("b")).alias("same_text"))
 
 
-def tag_strip_documents(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", tag_strip(F.col("text")).alias("bare"))
+def tag_strip(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "documents").select("doc_id", sc.tag_strip(F.col("text")).alias("bare"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        score_key_hash, sidecar_dedupe, sidecar_conflicts, sidecar_priority_join, alignment_lookup, sidecar_bind_violations, missing_asr, qkw_contract, arm_subset_check, arm_availability, lang_infer, stream_canonicalize, text_normalize, text_errors,
-        distinct_feature_reuse, content_class, validity_rules, se_parent_delta, se_delta_rollup, se_view_expand, se_companion, embedding_cosine, asr_ab_audit, tag_strip_documents,
+        score_key_hash, sidecar_dedupe, sidecar_conflicts, sidecar_priority_join, alignment_lookup, sidecar_bind_violations, missing_asr, qkw_contract, arm_subset_check, arm_availability, lang_infer, stream_canonicalize, text_normalize, text_errors, cer_char, cer_alias_min, wake_coverage, extra_ratio, alignment_normalise,
+        distinct_feature_reuse, content_class, validity_rules, se_parent_delta, se_delta_rollup, se_view_expand, se_companion, embedding_cosine, asr_ab_audit, tag_strip,
     )
 }
 
@@ -196,6 +218,8 @@ ORACLES = {
       e AS (SELECT row_id, CASE WHEN name = 'peak' THEN 'original' ELSE name END AS name, pos FROM (SELECT row_id, unnest(names) AS name, generate_subscripts(names, 1) AS pos FROM n) WHERE name <> ''),
       d AS (SELECT row_id, name, min(pos) AS pos FROM e GROUP BY ALL)
       SELECT arm_index.row_id, coalesce(string_agg(name, ',' ORDER BY pos), '') AS names FROM arm_index LEFT JOIN d USING (row_id) GROUP BY arm_index.row_id""",
+    "alignment_normalise": f"""WITH {CAND}, k AS (SELECT score_key, min(pcm_sha256) AS p, min(wake_text) AS w, min(lang) AS l FROM cand WHERE score_key IS NOT NULL GROUP BY score_key)
+      SELECT row_id, score_key, coalesce(pcm_sha256, p) AS pcm_sha256, coalesce(wake_text, w) AS wake_text, coalesce(lang, l) AS lang FROM sidecar LEFT JOIN k USING (score_key)""",
     "distinct_feature_reuse": "SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT hyp, wake_text FROM sidecar)) AS n_pairs, count(DISTINCT pcm_sha256) AS n_audio FROM sidecar",
     "se_parent_delta": f"WITH {CAND} SELECT c.candidate_id, c.cer_route - p.cer_route AS delta_cer, c.nll - p.nll AS delta_nll FROM cand c LEFT JOIN cand p ON p.candidate_id = nullif(c.raw_parent_candidate_id, '') WHERE c.view = 'moss48k'",
     "se_delta_rollup": f"""WITH {CAND}, d AS (SELECT c.content_class, CASE WHEN c.cer_route - p.cer_route < -1e-12 THEN 'improved' WHEN c.cer_route - p.cer_route > 1e-12 THEN 'worsened' ELSE 'same' END AS bucket
@@ -212,5 +236,5 @@ ORACLES = {
     "asr_ab_audit": r"""WITH r AS (SELECT score_key, score_kind, arg_min(regexp_replace(lower(hyp), '[^0-9a-z一-鿿]', '', 'g'), row_id) AS t FROM sidecar WHERE score_key <> '' GROUP BY ALL),
       j AS (SELECT a.t AS a, b.t AS b FROM (SELECT * FROM r WHERE score_kind = 'nll') a FULL JOIN (SELECT * FROM r WHERE score_kind = 'calibrated_qkw') b USING (score_key))
       SELECT count(*) FILTER (WHERE a IS NOT NULL AND b IS NULL) AS only_a, count(*) FILTER (WHERE a IS NULL AND b IS NOT NULL) AS only_b, count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS in_both, count(*) FILTER (WHERE a = b) AS same_text FROM j""",
-    "tag_strip_documents": r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS bare FROM documents",
+    "tag_strip": r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS bare FROM documents",
 }

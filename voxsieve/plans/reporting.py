@@ -116,6 +116,14 @@ def lang_not_worse(spark: SparkSession, root: str) -> DataFrame:
     return d.select("lang", F.round("a", 6).alias("mean_cer"), F.round("b", 6).alias("base_mean_cer"), (F.col("a") <= F.col("b") + 1e-12).alias("not_worse"))
 
 
+def pair_improved(spark: SparkSession, root: str) -> DataFrame:
+    g = _c(spark, root).groupBy("group_key").agg(F.min("lang").alias("lang"), F.min("split").alias("split"))
+    rate = lambda c, split, miss: F.avg(F.when(F.col("split") == split, ((F.col(c) > 1e-12) if miss else (F.col(c) <= 1e-12)).cast("int")))
+    d = _pairs(spark, root).join(g, "group_key").groupBy("lang").agg(*[rate(c, s, m).alias(n) for c, s, m, n in (("cer", "pos", True, "frr"), ("cer", "neg", False, "far"), ("base_cer", "pos", True, "b_frr"), ("base_cer", "neg", False, "b_far"))])
+    better = rep.pair_improved(F.col("frr"), rep.false_accepts(F.col("far"), F.lit(None).cast("double")), F.col("b_frr"), F.col("b_far"))
+    return d.select("lang", *[F.round(c, 6).alias(c) for c in ("frr", "far", "b_frr", "b_far")], better.alias("improved"))
+
+
 def crop_select(spark: SparkSession, root: str) -> DataFrame:
     return crops.best_crops(_c(spark, root), ["group_key"])
 
@@ -201,7 +209,7 @@ def ctc_align_score(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        asr_manifest, cache_hit_miss, loss_reason, group_order, export_slots, export_names, export_validate, export_summary, missing_uid_groups, uid_fingerprint, score_meta, inventory_meta, paired_delta, local_gate, lang_not_worse, crop_select, crop_occurrences,
+        asr_manifest, cache_hit_miss, loss_reason, group_order, export_slots, export_names, export_validate, export_summary, missing_uid_groups, uid_fingerprint, score_meta, inventory_meta, paired_delta, local_gate, lang_not_worse, pair_improved, crop_select, crop_occurrences,
         crop_specs, duration_bucket, duration_tolerance, longest_run, frame_energy_metrics, spectral_metrics, calib_stats, calib_fit, calib_apply, ctc_align_score,
     )
 }
@@ -246,6 +254,14 @@ ORACLES = {
       round(avg(cer), 6) AS mean_cer, round(avg(base_cer), 6) AS base_mean_cer, round(avg((cer <= 1e-12)::INT), 6) AS zero_share, round(avg((base_cer <= 1e-12)::INT), 6) AS base_zero_share FROM p""",
     "lang_not_worse": _PAIR
     + ", l AS (SELECT group_key, min(lang) AS lang FROM cand GROUP BY group_key), d AS (SELECT lang, avg(cer) AS a, avg(base_cer) AS b FROM p JOIN l USING (group_key) GROUP BY lang) SELECT lang, round(a, 6) AS mean_cer, round(b, 6) AS base_mean_cer, a <= b + 1e-12 AS not_worse FROM d",
+    "pair_improved": _PAIR
+    + """, l AS (SELECT group_key, min(lang) AS lang, min(split) AS split FROM cand GROUP BY group_key), d AS (SELECT lang, avg((cer > 1e-12)::INT) FILTER (WHERE split = 'pos') AS frr, avg((cer <= 1e-12)::INT) FILTER (WHERE split = 'neg') AS far,
+      avg((base_cer > 1e-12)::INT) FILTER (WHERE split = 'pos') AS b_frr, avg((base_cer <= 1e-12)::INT) FILTER (WHERE split = 'neg') AS b_far FROM p JOIN l USING (group_key) GROUP BY lang)
+      SELECT lang, round(frr, 6) AS frr, round(far, 6) AS far, round(b_frr, 6) AS b_frr, round(b_far, 6) AS b_far, coalesce((frr < b_frr - 1e-12 OR far < b_far - 1e-12) AND NOT (frr > b_frr + 1e-12 OR far > b_far + 1e-12), false) AS improved FROM d""",
+    "export_validate": _INDEX
+    + """, g AS (SELECT group_key, count(*) FILTER (WHERE marker = 'SELECTED') AS chosen, arg_min(marker, slot) AS first, min(group_order) AS lo, max(group_order) AS hi FROM x GROUP BY group_key)
+      SELECT count(*) FILTER (WHERE chosen <> 1) AS not_one_selected, count(*) FILTER (WHERE first <> 'SELECTED') AS selected_not_first, count(*) FILTER (WHERE lo <> hi) AS split_groups, max(hi) - count(DISTINCT lo) AS gaps,
+        (SELECT count(*) FROM (SELECT 1 FROM x GROUP BY group_key, slot HAVING count(*) > 1)) AS slots_twice FROM g""",
     "crop_select": f"WITH {CAND} SELECT group_key, arg_min(candidate_id, (cer_route, candidate_id)) AS selected_id, min(cer_route) AS selected_cer FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL GROUP BY group_key",
     "crop_occurrences": _OCC + "SELECT source, round(start_sec, 6) AS start_sec, round(end_sec, 6) AS end_sec FROM ok",
     "crop_specs": _OCC
