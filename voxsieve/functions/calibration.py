@@ -33,16 +33,16 @@ def fit_logistic(rows: DataFrame, lang: str, score: str, label: str, least_per_c
     """Slope and intercept per language by Newton's method on z-scores; ``penalty`` holds for the slope only.
 
     Each step is one aggregation of five sums per language over the distributed examples, so their number doesn't
-    matter; only languages x 5 numbers reach the driver. Raises CalibrationError for a missing class or scores without spread.
+    matter; only languages x 5 numbers reach the driver. Without examples there are no models. Raises CalibrationError for a missing class or scores without spread.
     """
     stats = {r["lang"]: r for r in class_statistics(rows, lang, score, label).collect()}
-    if not stats:
-        raise CalibrationError("no examples")
     for name, r in stats.items():
         if min(r["n_positive"], r["n_negative"]) < max(1, least_per_class):
             raise CalibrationError(f"{name}: a class has fewer than {least_per_class} examples")
         if r["scale"] < 1e-8:
             raise CalibrationError(f"{name}: the scores have no spread")
+    if not stats:
+        return {}
     beta = dict.fromkeys(stats, (0.0, 0.0))
     d = rows.select(F.col(lang).alias("lang"), finite(F.col(score)).alias("x"), F.col(label).cast("double").alias("y")).where("x is not null and y in (0, 1)")
     pick = lambda values: F.coalesce(*[F.when(F.col("lang").eqNullSafe(F.lit(k)), F.lit(v)) for k, v in values.items()])

@@ -52,7 +52,7 @@ def file_names(order: Column, slot: Column, marker: Column) -> Column:
     """The name under which a listing keeps a candidate's audio."""
     digest = F.substring(F.coalesce("pcm_sha256", F.lit("undec")), 1, 8)
     parts = [F.lpad(order.cast("string"), 6, "0"), uid_digest(), F.lpad(slot.cast("string"), 4, "0"), marker, F.col("role"), F.col("view"), slug(F.col("stream"), 24), F.concat(F.lit("P-"), digest)]
-    return F.array_join(F.array(*parts), "__")
+    return F.array_join(F.array(*parts), "__", "none")
 
 
 def loss_reasons(c: DataFrame, selected: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def set_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
 
     The digests of the distinct rows are added up and combined by exclusive or, so partial results merge and nothing is collected.
     """
-    d = df.select(F.sha2(F.concat_ws("\0", *columns), 256).alias("h")).distinct()
+    d = df.select(F.sha2(F.concat_ws("\0", *[F.coalesce(F.col(c).cast("string"), F.lit("\1")) for c in columns]), 256).alias("h")).distinct()
     low = F.conv(F.substring("h", 1, 12), 16, 10).cast("bigint")
     high = F.conv(F.substring("h", 13, 15), 16, 10).cast("bigint")
     sums = d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(low), F.lit(0)).alias("s"), F.coalesce(F.bit_xor(high), F.lit(0)).alias("x"))

@@ -151,7 +151,7 @@ def duration_tolerance(spark: SparkSession, root: str) -> DataFrame:
     e = numbered(table(spark, root, "events").select("user_id", "ts", "event_id", "value"), ["user_id"], "ts", ["event_id"], "no")
     later = e.select("user_id", (F.col("no") - 1).alias("no"), F.col("value").alias("new"))
     gap = F.abs(F.col("new") - F.col("value"))
-    return e.join(later, ["user_id", "no"]).select("event_id", (gap <= F.greatest(F.lit(0.1), F.col("value") * 0.02)).alias("within"))
+    return e.join(later, ["user_id", "no"]).where("value is not null and new is not null").select("event_id", (gap <= F.greatest(F.lit(0.1), F.col("value") * 0.02)).alias("within"))
 
 
 def longest_run(spark: SparkSession, root: str) -> DataFrame:
