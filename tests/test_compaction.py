@@ -67,6 +67,16 @@ def test_a_folder_of_tiny_files(spark, tmp_path):
     assert key(back) == key(spark.read.parquet(source)) and df is not None
 
 
+def test_files_of_two_schemas(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(10):
+        (tmp_path / "in" / f"{i}.parquet").write_bytes(encoded(sample(5, 5 * i) if i % 2 else sample(5, 5 * i).drop(["flag"])))
+    audit = cp.compact(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").toPandas()
+    assert sorted(audit.n_files) == [5, 5] and audit.n_rows.sum() == 50
+    rows = spark.read.option("mergeSchema", "true").parquet(f"file://{tmp_path}/out")
+    assert rows.count() == 50 and rows.where("flag is null").count() == 25
+
+
 def test_redeliveries(spark):
     rows = [(1, "/d/a.wav", "AB"), (2, "file:///d/a.wav", "ab"), (3, "/d//./a.wav", "aB"), (4, "/d/A.wav", "ab"), (5, None, "ab"), (6, None, "ab"), (7, "/d/a.wav", None), (8, "/d/a.wav", "cd"), (9, "s3://b/d/a.wav", "cd"), (1, "/d/a.wav", "AB")]
     df = spark.createDataFrame(rows, "row_id long, source_wav string, pcm_sha256 string").withColumn("key", F.lit("clash"))

@@ -31,6 +31,53 @@ def test_text_errors(spark):
     assert got["小路", "小路小路"].wake_coverage == 1 and got["小路", "小路小路"].cer_route == 0.5 and got["小 路，小路", "小路小路"].cer_route == 0
 
 
+def row_wise(hyp, ref, syllable):
+    """The text-error record of one pair, straight from its definition."""
+    import unicodedata
+
+    bare = str.maketrans("", "", tx.PUNCTUATION)
+    norm = lambda t: unicodedata.normalize("NFKC", t or "").lower().translate(bare).strip()
+    chars = lambda t: "".join(c for c in unicodedata.normalize("NFKC", t or "") if not c.isspace()).translate(bare).lower()
+
+    def share(a, b):
+        if not b:
+            return float(bool(a))
+        row = list(range(len(a) + 1))
+        for i, y in enumerate(b, 1):
+            new = [i]
+            for j, x in enumerate(a, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1] / len(b)
+
+    hc, rc, he, re_ = chars(hyp), chars(ref), " ".join(norm(hyp).split()), " ".join(norm(ref).split())
+    if any("\u4e00" <= c <= "\u9fff" for c in ref or ""):
+        route = share("".join(map(syllable, hc)), "".join(map(syllable, rc)))
+        ht, rt = list(norm(hyp).replace(" ", "")), list(norm(ref).replace(" ", ""))
+        cover, alias = rt, None
+    else:
+        options = dict.fromkeys([re_, *tx.ALIASES.get(re_, []), rc or re_])
+        route, _, alias = min((share(he, a), len(a), a) for a in options)
+        ht, rt, cover = he.split(), re_.split(), alias.split()
+    core = cover[-1] if cover else ""
+    core = "colmo" if alias and core.endswith("colmo") else core
+    hits = sum(t in ht or chars(t) in hc for t in cover)
+    return route, share(hc, rc), alias, hits / len(cover) if cover else 0.0, max(0, len(ht) - len(rt)) / max(1, len(ht)), bool(core) and core in hc
+
+
+def test_text_errors_of_a_whole_table(spark):
+    from tests.duck import ROOT
+    from voxsieve.sources.tables import table
+
+    read = tx.syllable_table(spark)
+    rows = tx.text_errors(table(spark, f"{ROOT}/sf0.01", "sidecar"), "hyp", "wake_text").collect()
+    assert len(rows) > 4000
+    for r in rows:
+        route, char, alias, coverage, extra, core = row_wise(r.hyp, r.wake_text, lambda c: read.get(c, c))
+        assert (r.cer_route, r.cer_char, r.wake_coverage, r.extra_ratio) == pytest.approx((route, char, coverage, extra)), r
+        assert (r.alias_hit, r.core_hit) == (alias, core), r
+
+
 def test_normalising(spark):
     d = spark.createDataFrame([(" Ｈｅｙ，　you! ",), ("İ",), (None,), ("",)], "t string")
     got = d.select(tx.normal_text(F.col("t")).alias("a"), tx.normal_chars(F.col("t")).alias("b")).collect()

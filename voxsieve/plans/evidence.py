@@ -10,7 +10,7 @@ from voxsieve.functions import scalars as sc
 from voxsieve.functions.scalars import content_hash, cosine
 from voxsieve.operators import evidence as ev
 from voxsieve.operators import selection as sel
-from voxsieve.plans.selection import CAND, _chain
+from voxsieve.plans.selection import CAND, _chain, hot_groups
 from voxsieve.policy import CLOSE
 from voxsieve.sources.tables import table
 
@@ -155,7 +155,7 @@ def se_view_expand(spark: SparkSession, root: str) -> DataFrame:
 
 def se_companion(spark: SparkSession, root: str) -> DataFrame:
     c = _c(spark, root)
-    won = sel.stage_winners(c, CLOSE).select("group_key", F.col("winner.candidate_id").alias("candidate_id"), F.col("winner.view").alias("view"), F.col("winner.pcm_sha256").alias("pcm_sha256"))
+    won = sel.stage_winners(c, CLOSE, hot=hot_groups(spark, root)).select("group_key", F.col("winner.candidate_id").alias("candidate_id"), F.col("winner.view").alias("view"), F.col("winner.pcm_sha256").alias("pcm_sha256"))
     return ev.companions(won, c)
 
 

@@ -13,7 +13,7 @@ from voxsieve.operators import reporting as rep
 from voxsieve.operators import selection as sel
 from voxsieve.operators.compaction import absolute_path
 from voxsieve.operators.ordered import exact_quantile, numbered
-from voxsieve.plans.selection import _DECIDED, CAND, _chain
+from voxsieve.plans.selection import _DECIDED, CAND, _chain, hot_groups
 from voxsieve.policy import CLOSE
 from voxsieve.sources.tables import table
 
@@ -24,7 +24,7 @@ def _c(spark: SparkSession, root: str) -> DataFrame:
 
 def _selected(spark: SparkSession, root: str) -> DataFrame:
     c = _c(spark, root)
-    ids = sel.decisions(c, CLOSE).where("selected_id is not null").select(F.col("selected_id").alias("candidate_id"))
+    ids = sel.decisions(c, CLOSE, hot_groups(spark, root)).where("selected_id is not null").select(F.col("selected_id").alias("candidate_id"))
     return c.join(ids, "candidate_id")
 
 
@@ -50,7 +50,7 @@ def group_order(spark: SparkSession, root: str) -> DataFrame:
 
 def _index(spark: SparkSession, root: str) -> DataFrame:
     c = _c(spark, root)
-    chosen = sel.decisions(c, CLOSE).select("group_key", "selected_id")
+    chosen = sel.decisions(c, CLOSE, hot_groups(spark, root)).select("group_key", "selected_id")
     is_it = F.coalesce(F.col("candidate_id") == F.col("selected_id"), F.lit(False))
     marker = F.when(is_it, "SELECTED").when(F.col("decode_ok"), "REJECTED").otherwise("FAILED")
     d = c.join(chosen, "group_key").join(rep.group_orders(c), "group_key").withColumn("marker", marker)
@@ -96,8 +96,8 @@ def inventory_meta(spark: SparkSession, root: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, root: str) -> DataFrame:
     c = _c(spark, root)
-    new = sel.decisions(c, CLOSE).select("group_key", F.col("selected_cer").alias("cer"))
-    base = sel.stage_winners(c.where("role = 's1' and view = 'raw'"), CLOSE).select("group_key", F.col("winner.cer_route").alias("cer"))
+    new = sel.decisions(c, CLOSE, hot_groups(spark, root)).select("group_key", F.col("selected_cer").alias("cer"))
+    base = sel.stage_winners(c.where("role = 's1' and view = 'raw'"), CLOSE, hot=hot_groups(spark, root)).select("group_key", F.col("winner.cer_route").alias("cer"))
     return rep.paired(new, base)
 
 

@@ -17,6 +17,11 @@ def _candidates(spark: SparkSession, root: str) -> DataFrame:
     return sel.candidates(table(spark, root, "scored_candidates"))
 
 
+def hot_groups(spark: SparkSession, root: str) -> list:
+    """Groups that hold a large part of the rows, from one scan of one column."""
+    return sel.heavy_keys(table(spark, root, "scored_candidates"), F.col("group_key"))
+
+
 def finite_filter(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "scored_candidates").where(finite(F.col("cer_route")).isNotNull()).select("row_id", "cer_route")
 
@@ -27,7 +32,7 @@ def rankable_filter(spark: SparkSession, root: str) -> DataFrame:
 
 def _pool_after(spark: SparkSession, root: str, chain: list[sel.Link]) -> DataFrame:
     r = sel.rankable(_candidates(spark, root))
-    return sel.eliminate(r, ["group_key", "role"], chain, sel.heavy_keys(r, F.col("group_key")), "group_key").where("alive").select("group_key", "role", "candidate_id")
+    return sel.eliminate(r, ["group_key", "role"], chain, hot_groups(spark, root), "group_key").where("alive").select("group_key", "role", "candidate_id")
 
 
 def margin_pool(spark: SparkSession, root: str) -> DataFrame:
@@ -35,7 +40,7 @@ def margin_pool(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _winners(spark: SparkSession, root: str, p: Policy) -> DataFrame:
-    w = sel.stage_winners(_candidates(spark, root), p)
+    w = sel.stage_winners(_candidates(spark, root), p, hot=hot_groups(spark, root))
     return w.select("group_key", "role", "n_candidates", "min_cer", "n_cer_close", "n_tied", F.col("winner.candidate_id").alias("winner"), F.col("winner.view").alias("winner_view"), F.col("winner.cer_route").alias("winner_cer"), sel.view_reason(p).alias("view_reason"))
 
 
@@ -69,7 +74,7 @@ def availability(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, root: str, p: Policy) -> DataFrame:
-    w = sel.stage_winners(_candidates(spark, root), p)
+    w = sel.stage_winners(_candidates(spark, root), p, hot=hot_groups(spark, root))
     return w.groupBy("group_key").agg(F.max(F.when(F.col("role") == "s1", F.col("winner"))).alias("w1"), F.max(F.when(F.col("role") == "s7", F.col("winner"))).alias("w7"))
 
 
@@ -91,11 +96,11 @@ def audit_fallback(spark: SparkSession, root: str) -> DataFrame:
 
 
 def route_decision(spark: SparkSession, root: str) -> DataFrame:
-    return sel.decisions(_candidates(spark, root), CLOSE).drop("s1_view_reason", "s7_view_reason")
+    return sel.decisions(_candidates(spark, root), CLOSE, hot_groups(spark, root)).drop("s1_view_reason", "s7_view_reason")
 
 
 def reason_counts(spark: SparkSession, root: str) -> DataFrame:
-    return sel.decisions(_candidates(spark, root), CLOSE).groupBy("reason_code").agg(F.count(F.lit(1)).alias("n"))
+    return sel.decisions(_candidates(spark, root), CLOSE, hot_groups(spark, root)).groupBy("reason_code").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {
