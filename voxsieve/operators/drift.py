@@ -57,14 +57,18 @@ def readable(lines: DataFrame, body: str = "body") -> DataFrame:
     return parsed.withColumn("doc", F.variant_get("_all", "$[0]", "variant")).where("schema_of_variant(doc) like 'OBJECT%'").drop("_all")
 
 
-def _canonical(value: Column) -> Column:
-    """A value's content as text, whatever its JSON type: wrappers, quotes and blanks are dropped, numbers brought to one form."""
-    json = F.to_json(value)
-    bare = lambda c: F.regexp_replace(c, r'[\[\]{}":,\s]+', "")
-    leaves = bare(F.regexp_replace(json, r'"(?:\\.|[^"\\])*"\s*:', ""))
-    text = F.when(leaves != "", leaves).otherwise(bare(json))
-    number = F.when(text.rlike(r"^-?\d{1,15}(\.\d+)?([eE][-+]?\d{1,2})?$"), text.try_cast("double").cast("string"))
-    return F.coalesce(number, text)
+def _with_content(cells: DataFrame, value: str) -> DataFrame:
+    """``content``: a value as text, whatever its JSON type: wrappers, quotes and blanks are dropped, numbers brought to one form.
+
+    Taken in steps, as each step's column is used several times in the next and would be worked out once per use.
+    """
+    bare = lambda c: F.translate(c, '[]{}":, \t\n\r', "")
+    nested = F.col("_json").startswith("{") | F.col("_json").startswith("[")
+    leaves = F.when(nested, bare(F.regexp_replace("_json", r'"(?:\\.|[^"\\])*"\s*:', ""))).otherwise(F.lit(""))
+    numeric = F.substring("_text", 1, 1).between("-", "9") & F.col("_text").rlike(r"^-?\d{1,15}(\.\d+)?([eE][-+]?\d{1,2})?$")
+    d = cells.withColumn("_json", F.to_json(value)).withColumn("_leaves", leaves)
+    d = d.withColumn("_text", F.when(F.col("_leaves") != "", F.col("_leaves")).otherwise(bare(F.col("_json"))))
+    return d.withColumn("content", F.when(numeric, F.col("_text").try_cast("double").cast("string")).otherwise(F.col("_text"))).drop("_json", "_leaves", "_text")
 
 
 def fields(lines: DataFrame, feed: str, at: str, file: str, line: str) -> DataFrame:
@@ -80,8 +84,8 @@ def fields(lines: DataFrame, feed: str, at: str, file: str, line: str) -> DataFr
         .when(shape == "STRING", "string")
         .when(shape != "VOID", "number")
     )
-    each = each.withColumn("kind", kind)
-    return each.select("feed", "at", "file", "line", "field", "kind", F.when(F.col("kind").isNotNull(), _canonical(F.col("value"))).alias("content"))
+    each = _with_content(each.withColumn("kind", kind), "value")
+    return each.select("feed", "at", "file", "line", "field", "kind", F.when(F.col("kind").isNotNull(), F.col("content")).alias("content"))
 
 
 def catalogue(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
