@@ -75,3 +75,11 @@ def test_equals_brute_force_on_random_texts(spark, texts):
     got = plain(spark, texts)
     for t, g in zip(texts, got):
         assert g == brute(t), [hex(ord(c)) for c in t]
+
+
+def test_hot_texts_are_salted(spark, monkeypatch):
+    """With every text taken as hot the result is the same."""
+    rows = _texts(spark, f"{ROOT}/sf0.001")
+    want = sorted(map(tuple, pt.changed_rows(rows, "text").collect()))
+    monkeypatch.setattr("voxsieve.operators.skew.heavy_keys", lambda df, key, **_: [r[0] for r in df.select(key).distinct().collect()])
+    assert sorted(map(tuple, pt.changed_rows(rows, "text").collect())) == want and want
