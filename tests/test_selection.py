@@ -1,9 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.duck import ROOT, check, connection
+from voxsieve.operators import ranks
 from voxsieve.operators import selection as sel
+from voxsieve.plans import selection as plans
 from voxsieve.policy import CLOSE, Policy
 
 SCHEMA = "row_id long, candidate_id string, group_key string, uid string, split string, role string, view string, stream string, pcm_sha256 string, source_wav string, content_class string, validity string, qkw_calibrated boolean, s7_available boolean, decode_ok boolean, deleted_at timestamp, " + ", ".join(f"{m} double" for m in sel.METRICS)
@@ -96,6 +100,50 @@ def test_ranks_repeat_the_elimination(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("policy", [Policy(), CLOSE])
+@pytest.mark.parametrize("hot", [[], ["g0", "g1"]])
+def test_ranks_of_large_groups(spark, policy, hot):
+    """Groups far above an Arrow batch's share, whole or cut at gaps of their errors, against repeated elimination row by row."""
+    rng = random.Random(5)
+    rows = [r | {"group_key": f"g{i % 3}", "nll": rng.random(), "cer_route": r["cer_route"] and rng.choice([0.1, 0.115, 0.13, 0.5])} for i, r in enumerate(sampled(rng, 150))]
+    df, rows = frame(spark, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.group_key, r.role, r.stage_rank): r.candidate_id for r in sel.stage_ranks(df, policy, hot=hot).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, groups = {}, {}
+    for r in rows:
+        groups.setdefault((r["group_key"], r["role"]), []).append(r)
+    for k, g in groups.items():
+        n = 0
+        while (w := model(g, policy)) is not None:
+            n += 1
+            want[(*k, n)] = w
+            g = [r for r in g if r["candidate_id"] != w]
+    assert got == want and max(n for *_, n in want) > 50
+
+
+def test_arrays_and_lists_narrow_alike():
+    rng = random.Random(4)
+    for lacks in (0.0, 0.01):
+        values = [float("nan") if rng.random() < lacks else rng.choice([0.1, 0.1 + 5e-13, 0.11, 0.12, rng.random()]) for _ in range(300)]
+        pool = rng.sample(range(300), 200)
+        most, ranks._ARRAYS_FROM = ranks._ARRAYS_FROM, 1000
+        by_list = ranks._narrow(pool, values, np.array(values), 0.01)
+        ranks._ARRAYS_FROM = most
+        assert ranks._narrow(pool, values, np.array(values), 0.01) == by_list
+
+
+def test_the_query_ranks_every_rankable_candidate(spark):
+    """No candidate of the table is left out; the first three ranks are those of the SQL."""
+    root = f"{ROOT}/sf0.001"
+    got = plans.QUERIES["stage_rank"](spark, root)
+    assert got.count() == plans.QUERIES["rankable_filter"](spark, root).count()
+    assert got.groupBy("group_key", "role").agg(F.max("stage_rank").alias("m"), F.count(F.lit(1)).alias("n"), F.count_distinct("stage_rank").alias("d")).where("m <> n or d <> n").count() == 0
+    check(got.where("stage_rank <= 3"), connection("sf0.001"), plans.ORACLES["stage_rank"])
+
+
 CASES = [
     ({"cer_route": 0.0}, {"cer_route": 0.0}, "KEEP_S1_CER0_TRUSTED"),
     ({"cer_route": 0.25}, {"cer_route": 0.0}, "SWITCH_S7_LOWER_CER"),

@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxsieve.functions.scalars import finite
+from voxsieve.operators.ranks import TIE, clustered_ranks
 from voxsieve.operators.skew import heavy_keys
 from voxsieve.policy import STREAM_SLOTS, Policy
 from voxsieve.session import settled
 
 METRICS = ["cer_route", "q_kw", "keyword_score", "nll", "speaker_ref_score", "gain_ref", "extra_ratio", "p_music", "p_overlap", "clip_rate", "speech_ratio", "snr_vad_db", "dnsmos_ovrl"]
-TIE = 1e-12
 
 
 def candidates(scored: DataFrame) -> DataFrame:
@@ -84,12 +84,30 @@ def metric_link(name: str, margin: float, higher: bool) -> Link:
     return Link(have, F.when(F.col("_n") == F.col("_m"), within(F.col("_best"), v, margin)).otherwise(F.lit(True)))
 
 
+def evidence_metrics(p: Policy) -> list[tuple[Column, float]]:
+    """(value, smaller is better; margin) of the metrics of which the first counts that all of the pool have."""
+    sure = F.when(F.coalesce(F.col("qkw_calibrated"), F.lit(False)), F.col("q_kw"))
+    return [(-sure, p.qkw_switch_margin), (-F.col("keyword_score"), p.qkw_switch_margin), (F.col("nll"), p.nll_switch_margin)]
+
+
+def quality_metrics(p: Policy) -> list[tuple[str, float, bool]]:
+    """(name, margin, higher is better) of the metrics after the evidence, in order."""
+    return [
+        ("speaker_ref_score", p.speaker_switch_margin, True),
+        ("extra_ratio", p.quality_regression_tolerance, False),
+        ("p_music", p.noise_switch_margin, False),
+        ("p_overlap", p.noise_switch_margin, False),
+        ("clip_rate", p.quality_regression_tolerance, False),
+        ("snr_vad_db", p.snr_switch_margin_db, True),
+        ("dnsmos_ovrl", p.dnsmos_switch_margin, True),
+    ]
+
+
 def evidence_link(p: Policy) -> Link:
     """One of three metrics: calibrated q_kw if all have it, else the keyword score, else the negative log-likelihood."""
-    sure = F.when(F.coalesce(F.col("qkw_calibrated"), F.lit(False)), F.col("q_kw"))
     have = {"_n": F.count(_pool(F.lit(1)))}
     keep = F.lit(True)
-    for tag, v, margin in (("n", F.col("nll"), p.nll_switch_margin), ("k", -F.col("keyword_score"), p.qkw_switch_margin), ("q", -sure, p.qkw_switch_margin)):
+    for tag, (v, margin) in zip("nkq", reversed(evidence_metrics(p))):
         have |= {f"_m{tag}": F.count(_pool(v)), f"_b{tag}": F.min(_pool(v))}
         keep = F.when(F.col("_n") == F.col(f"_m{tag}"), within(F.col(f"_b{tag}"), v, margin)).otherwise(keep)
     return Link(have, keep)
@@ -100,16 +118,7 @@ def links(p: Policy) -> list[Link]:
     delta = max(0.0, p.cer_close_delta or 0.0)
     first = Link({"min_cer": F.min(_pool(F.col("cer_route")))}, F.col("cer_route") <= F.col("min_cer") + F.lit(delta + TIE))
     chain = [first, evidence_link(p)]
-    for name, margin, higher in (
-        ("speaker_ref_score", p.speaker_switch_margin, True),
-        ("extra_ratio", p.quality_regression_tolerance, False),
-        ("p_music", p.noise_switch_margin, False),
-        ("p_overlap", p.noise_switch_margin, False),
-        ("clip_rate", p.quality_regression_tolerance, False),
-        ("snr_vad_db", p.snr_switch_margin_db, True),
-        ("dnsmos_ovrl", p.dnsmos_switch_margin, True),
-    ):
-        chain.append(metric_link(name, margin, higher))
+    chain += [metric_link(*m) for m in quality_metrics(p)]
     if p.prefer_se_on_close_cer and delta > 0:
         enhanced = F.col("view") == "moss48k"
         chain.append(Link({"_e": F.count(_pool(F.when(enhanced, 1)))}, (F.col("_e") == 0) | enhanced))
@@ -217,22 +226,21 @@ def error_ranks(c: DataFrame) -> DataFrame:
     return rankable(c).withColumn("cer_rank", F.row_number().over(w))
 
 
-def stage_ranks(c: DataFrame, p: Policy, most: int | None = None) -> DataFrame:
-    """``stage_rank``: the winner is 1, the winner of the rest 2, and so on, by repeated elimination.
+def stage_ranks(c: DataFrame, p: Policy, most: int | None = None, hot: list | None = None) -> DataFrame:
+    """``stage_rank``: the winner is 1, the winner of the rest 2, and so on, until every rankable candidate has its rank.
 
-    Margins aren't transitive, so this is no sort. Rounds run over all groups at once, each cutting the lineage; ``most``
-    stops after so many ranks (later candidates have no row), else it goes on until every candidate is ranked.
+    Margins aren't transitive, so this is no sort but repeated elimination, in one clustered pass over the groups (see ``ranks.py``). ``most`` leaves out later ranks.
     """
-    rest, done, k = settled(rankable(c), "rank-rest"), None, 0
-    while most is None or k < most:
-        k += 1
-        won = stage_winners(rest, p).select("group_key", "role", F.col("winner.candidate_id").alias("candidate_id"), F.lit(k).alias("stage_rank"))
-        won = settled(won, "rank-won")
-        if not won.take(1):
-            break
-        done = won if done is None else done.unionByName(won)
-        rest = settled(rest.join(won.select("candidate_id"), "candidate_id", "left_anti"), "rank-rest")
-    return done if done is not None else c.select("group_key", "role", "candidate_id", F.lit(0).alias("stage_rank")).limit(0)
+    r = rankable(c)
+    hot = heavy_keys(r, F.col("group_key")) if hot is None else hot
+    delta = max(0.0, p.cer_close_delta or 0.0)
+    prefer = bool(p.prefer_se_on_close_cer and delta > 0)
+    evidence, quality = evidence_metrics(p), quality_metrics(p)
+    values = [v.alias(f"_e{i}") for i, (v, _) in enumerate(evidence)] + [(-F.col(m) if higher else F.col(m)).alias(f"_m{i}") for i, (m, _, higher) in enumerate(quality)]
+    enhanced = F.coalesce(F.col("view") == "moss48k", F.lit(False))
+    d = r.select("group_key", "role", "candidate_id", "cer_route", *values, enhanced.alias("_enhanced"), conservative_key(prefer).alias("_last"))
+    ranks = clustered_ranks(d, ["group_key", "role"], [m for _, m in evidence], [m for _, m, _ in quality], delta, prefer, hot)
+    return ranks if most is None else ranks.where(F.col("stage_rank") <= most)
 
 
 def trigger_reasons(w: str, p: Policy) -> Column:

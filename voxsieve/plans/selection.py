@@ -66,7 +66,7 @@ def cer_rank(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stage_rank(spark: SparkSession, root: str) -> DataFrame:
-    return sel.stage_ranks(_candidates(spark, root), CLOSE, most=3)
+    return sel.stage_ranks(_candidates(spark, root), CLOSE, hot=hot_groups(spark, root))
 
 
 def availability(spark: SparkSession, root: str) -> DataFrame:
