@@ -137,3 +137,44 @@ def test_one_consistent_table(spark):
     a, b = drift.consistent_table(lines_of(spark, [bodies]), "sidecar").orderBy("line_id").collect()
     assert (a.candidate_id, a.wake_text, a.hyp, a.nll, a.q_kw, a.decode_ok, a.token_count, a.calibrator_hash) == ("c", "hey", "hey you", 0.5, 1.0, True, 3, "ab")
     assert (b.candidate_id, b.hyp, b.nll, b.q_kw, b.decode_ok, b.token_count, b.dur_sec) == ("", "hello there", 0.1, 0.25, False, None, None)
+
+
+def test_fields_without_a_canonical_name_stay(spark):
+    bodies = [
+        {"candidate_id": "c", "beam": [4, 5], "rev": None, "hyp": None, "token_count": "many", "nll": 0.5, "neg_log": 0.75, "it's": {"a": 1}},
+        {"candidate_id": "d", "lang": "en"},
+    ]
+    a, b = drift.consistent_table(lines_of(spark, [bodies]), "sidecar").orderBy("line_id").collect()
+    assert a.nll == 0.5 and a.other_fields == {"beam": "[4,5]", "rev": "null", "token_count": '"many"', "neg_log": "0.75", "it's": '{"a":1}'}
+    assert b.lang == "en" and b.other_fields == {}
+
+
+def test_every_field_of_the_small_table_is_kept(spark):
+    """Each non-null field of each line is in other_fields, or is a spelling of a canonical field that has a value."""
+    lines = table(spark, f"{ROOT}/sf0.001", "raw_lines")
+    bodies = {r.line_id: json.loads(r.body) for r in lines.where("try_parse_json(body) is not null and body like '{%'").collect()}
+    for family in drift.FAMILY_FIELDS:
+        known, n = drift.spellings_of(family), 0
+        for r in drift.consistent_table(lines, family).collect():
+            for k, v in bodies[r.line_id].items():
+                n += k not in known
+                if k not in known:
+                    assert json.loads(r.other_fields[k]) == v
+                elif v is not None:
+                    assert k in r.other_fields or r[known[k]] is not None
+        assert n
+
+
+def test_casts_follow_renames_outside_the_alias_table(spark):
+    """wake goes on as mot, then as ordet; a later, unrelated mot isn't taken for it."""
+    line = lambda i, **more: {"uid": f"u{i}", "candidate_id": f"candidate {i}", "nll": i * 1.25 + 0.5} | more
+    files = [
+        [line(i, wake=f"phrase {i}") for i in range(6)],
+        [line(i, mot=[f"phrase {i}"]) for i in range(6)],
+        [line(i, ordet=f"phrase {i}", rev=i) for i in range(6)],
+        [line(i, rev=i, mot=f"other {i}") for i in range(6)],
+    ]
+    got = drift.consistent_table(lines_of(spark, files), "sidecar").orderBy("line_id").collect()
+    assert [r.wake_text for r in got] == [f"phrase {i}" for i in range(6)] * 3 + [None] * 6
+    assert got[0].other_fields == {"uid": '"u0"'} and got[6].other_fields == {"uid": '"u0"'}
+    assert got[12].other_fields == {"uid": '"u0"', "rev": "0"} and got[18].other_fields == {"uid": '"u0"', "rev": "0", "mot": '"other 0"'}

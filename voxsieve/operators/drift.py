@@ -152,6 +152,17 @@ def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float)
     return scored.select("feed", "no", "old", "new", "share", "n")
 
 
+def _history(cells: DataFrame, rename_share: float) -> tuple[DataFrame, ...]:
+    """(files, seen, new, gone, renamed): numbered files, footers with their neighbours, starts and ends of fields, and the renames among these."""
+    files, footers = catalogue(cells)
+    seen = settled(neighbours(footers, ["feed", "field"], "no", "kind"), "seen")
+    new = seen.where("no > 1 and (prev_no is null or prev_no < no - 1)").select("feed", "no", F.col("field").alias("new"))
+    ended = seen.where("next_no is null or next_no > no + 1").select("feed", (F.col("no") + 1).alias("no"), F.col("field").alias("old"))
+    gone = settled(ended.join(files.select("feed", "no"), ["feed", "no"], "left_semi"), "gone")
+    renamed = settled(_renames(cells, files, settled(gone.join(new, ["feed", "no"]), "pairs"), rename_share), "renamed")
+    return files, seen, new, gone, renamed
+
+
 def changes(cells: DataFrame, rename_share: float = 0.6) -> DataFrame:
     """Every change and the file that brought it: ``feed_id, file_name, change, old_field, new_field``.
 
@@ -159,12 +170,7 @@ def changes(cells: DataFrame, rename_share: float = 0.6) -> DataFrame:
     rename if the content goes on (see :func:`_renames`). Types are compared with the last file that had values. Empty and unreadable lines, and empty tables, give no rows. ``cells`` is
     read several times: pass a materialised table.
     """
-    files, footers = catalogue(cells)
-    seen = settled(neighbours(footers, ["feed", "field"], "no", "kind"), "seen")
-    new = seen.where("no > 1 and (prev_no is null or prev_no < no - 1)").select("feed", "no", F.col("field").alias("new"))
-    ended = seen.where("next_no is null or next_no > no + 1").select("feed", (F.col("no") + 1).alias("no"), F.col("field").alias("old"))
-    gone = settled(ended.join(files.select("feed", "no"), ["feed", "no"], "left_semi"), "gone")
-    renamed = settled(_renames(cells, files, settled(gone.join(new, ["feed", "no"]), "pairs"), rename_share), "renamed")
+    files, seen, new, gone, renamed = _history(cells, rename_share)
     event = lambda d, change, old, new_field: d.select("feed", "no", F.lit(change).alias("change"), old.alias("old_field"), new_field.alias("new_field"))
     retyped = seen.where("prev_no = no - 1 and kind is not null and last_kind is not null and kind <> last_kind")
     out = event(retyped, "retyped", F.col("field"), F.col("field"))
@@ -179,38 +185,81 @@ def materialised_cells(lines: DataFrame) -> DataFrame:
     return settled(fields(lines, "feed_id", "written_at", "file_name", "line_id"), "cells")
 
 
-def cast_expression(doc: Column, spellings: list[str], kind: str) -> Column:
-    """The generated cast of one canonical field: its first non-null spelling, unwrapped and cast; null where a cast fails."""
+def spellings_of(family: str) -> dict[str, str]:
+    """Spelling to canonical field of a family, by the alias table."""
+    known = {s: name for name in FAMILY_FIELDS[family] for s in ALIASES[name][0]}
+    return known | {s: name for (fam, s), name in FAMILY_ALIASES.items() if fam == family}
 
-    def one(name: str) -> Column:
-        v = F.try_variant_get(doc, "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")
-        shape = F.schema_of_variant(v)
-        if kind == "string":
-            text = F.try_variant_get(v, "$", "string")
-            inner = F.array_join(F.from_json(F.to_json(v), "array<string>"), " ")
-            values = F.map_values(F.from_json(F.to_json(v), "map<string,string>"))
-            unwrapped = F.when(F.size(values) == 1, F.get(values, 0)).otherwise(F.to_json(v))
-            return F.when(shape.startswith("ARRAY"), inner).when(shape.startswith("OBJECT"), unwrapped).when(shape != "VOID", text)
-        bare = F.regexp_replace(F.to_json(v), r'^[\[{"]+(?:[^":]+"\s*:)?["]?|[\]}"]+$', "")
-        return F.when(shape != "VOID", bare.try_cast(kind))
 
-    return F.coalesce(*[one(s) for s in spellings])
+def renamed_spellings(cells: DataFrame, family: str, rename_share: float = 0.6) -> DataFrame:
+    """``feed, at, file, canon, field``: fields outside the alias table that a chain of renames links to a canonical field, in the files of that unbroken span only.
+
+    A span that renames link to several canonical fields is left out; of two spans for one field in a file the first in alphabetic order counts.
+    """
+    files, seen, _, _, renamed = _history(cells, rename_share)
+    known = list(spellings_of(family))
+    edges = renamed.select("feed", "no", "old", "new").where(~F.col("old").isin(known) | ~F.col("new").isin(known))
+    marked = seen.select("feed", "field", "no", F.when(F.col("prev_no").isNull() | (F.col("prev_no") < F.col("no") - 1), F.col("no")).alias("start"))
+    spans = neighbours(marked, ["feed", "field"], "no", "start").select("feed", "field", "no", F.coalesce("start", "last_start").alias("start"))
+    before = spans.select("feed", (F.col("no") + 1).alias("no"), F.col("field").alias("old"), F.col("start").alias("old_start"))
+    edges = edges.join(before, ["feed", "no", "old"])
+    step = lambda a, a_start, b, b_start: edges.select("feed", F.col(a).alias("field"), F.col(a_start).alias("start"), F.col(b).alias("to"), F.col(b_start).alias("to_start"))
+    steps = settled(step("old", "old_start", "new", "no").unionByName(step("new", "no", "old", "old_start")).where(~F.col("to").isin(known)), "rename-steps")
+    names = cells.sparkSession.createDataFrame(list(spellings_of(family).items()), "field string, canon string")
+    reached = lambda d: d.select("feed", F.col("to").alias("field"), F.col("to_start").alias("start"), "canon").distinct()
+    latest = linked = settled(reached(steps.join(F.broadcast(names), "field")), "renamed-fields")
+    while latest.take(1):
+        latest = settled(reached(steps.join(latest, ["feed", "field", "start"])).join(linked, ["feed", "field", "start", "canon"], "left_anti"), "renamed-fields")
+        linked = linked.unionByName(latest)
+    sure = linked.groupBy("feed", "field", "start").agg(F.min("canon").alias("canon"), F.count_distinct("canon").alias("n")).where("n = 1")
+    return spans.join(sure, ["feed", "field", "start"]).join(files, ["feed", "no"]).groupBy("feed", "at", "file", "canon").agg(F.min("field").alias("field"))
+
+
+def cast_of(v: Column, name: str) -> Column:
+    """The generated cast of a variant to canonical field ``name``: unwrapped and cast; null where a cast fails."""
+    kind = ALIASES[name][1]
+    shape = F.schema_of_variant(v)
+    if name == "streams":
+        listed = F.coalesce(F.when(shape.startswith("OBJECT"), F.json_object_keys(F.to_json(v))), F.from_json(F.to_json(v), "array<string>"))
+        return F.array_join(listed, ",")
+    if kind == "string":
+        text = F.try_variant_get(v, "$", "string")
+        inner = F.array_join(F.from_json(F.to_json(v), "array<string>"), " ")
+        values = F.map_values(F.from_json(F.to_json(v), "map<string,string>"))
+        unwrapped = F.when(F.size(values) == 1, F.get(values, 0)).otherwise(F.to_json(v))
+        return F.when(shape.startswith("ARRAY"), inner).when(shape.startswith("OBJECT"), unwrapped).when(shape != "VOID", text)
+    bare = F.regexp_replace(F.to_json(v), r'^[\[{"]+(?:[^":]+"\s*:)?["]?|[\]}"]+$', "")
+    return F.when(shape != "VOID", bare.try_cast(kind))
 
 
 def consistent_table(lines: DataFrame, family: str) -> DataFrame:
-    """All readable lines of a family in one table: ``line_id, feed_id, file_name`` and the family's canonical fields, typed.
+    """All readable lines of a family in one table: ``line_id, feed_id, file_name``, the family's canonical fields, typed, and ``other_fields``.
 
-    The select list is generated from the alias table; stream lists and maps become a comma list of their names. Unreadable lines are left out, fields a line lacks are null.
+    A canonical field is the first spelling, by the alias table and then by the renames found in the feed's history, whose value can be cast; stream lists and maps become
+    a comma list of their names. Unreadable lines are left out, fields a line lacks are null. Every field of a line that gave no canonical
+    value stays in the map ``other_fields`` as JSON text: fields without a canonical name, values that can't be cast, further spellings of a field, and
+    maps of streams. Only nulls under a spelling of the alias table are dropped.
     """
-    docs = readable(lines.where(F.col("family") == family))
-    out = []
+    mine = lines.where(F.col("family") == family)
+    docs = readable(mine).withColumn("_fields", F.col("doc").cast("map<string,variant>"))
+    found = settled(renamed_spellings(materialised_cells(mine), family), "spellings")
+    more = bool(found.take(1))
+    if more:
+        per_file = found.groupBy("feed", "at", "file").agg(F.map_from_entries(F.collect_list(F.struct("canon", "field"))).alias("_more"))
+        per_file = per_file.withColumnsRenamed({"feed": "_feed", "at": "_at", "file": "_file"})
+        docs = docs.join(per_file, (F.col("feed_id") == F.col("_feed")) & (F.col("written_at") == F.col("_at")) & (F.col("file_name") == F.col("_file")), "left")
+    known = spellings_of(family)
+    picks = []
     for name in FAMILY_FIELDS[family]:
-        spellings, kind = ALIASES[name]
-        spellings = spellings + [s for (fam, s), canon in FAMILY_ALIASES.items() if fam == family and canon == name]
-        if name == "streams":
-            v = F.coalesce(*[F.to_json(F.try_variant_get("doc", f"$['{s}']", "variant")) for s in spellings])
-            names = F.coalesce(F.when(v.startswith("{"), F.json_object_keys(v)), F.from_json(v, "array<string>"))
-            out.append(F.array_join(names, ",").alias(name))
-        else:
-            out.append(cast_expression(F.col("doc"), spellings, kind).alias(name))
-    return docs.select("line_id", "feed_id", "file_name", *out)
+        spelled = [(F.lit(s), F.try_variant_get("doc", "$['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']", "variant")) for s, canon in known.items() if canon == name]
+        if more:
+            spelled.append((F.col("_more")[name], F.element_at("_fields", F.col("_more")[name])))
+        whole = lambda v: ~F.schema_of_variant(v).startswith("OBJECT") if name == "streams" else F.lit(True)  # noqa: B023, E731
+        options = F.array(*[F.struct(cast_of(v, name).alias("value"), F.when(whole(v), s).alias("field")) for s, v in spelled])
+        picks.append(F.get(F.filter(options, lambda x: x["value"].isNotNull()), 0).alias(f"_{name}"))
+    picked = docs.select("line_id", "feed_id", "file_name", "_fields", *picks)
+    values = [F.col(f"_{name}.value").alias(name) for name in FAMILY_FIELDS[family]]
+    used = F.array_compact(F.array(*[F.col(f"_{name}.field") for name in FAMILY_FIELDS[family]]))
+    texts = F.transform_values("_fields", lambda _, v: F.coalesce(F.to_json(v), F.lit("null")))
+    unnamed = F.map_filter(texts, lambda k, v: ~F.array_contains(used, k) & ~((v == "null") & k.isin(list(known))))
+    return picked.select("line_id", "feed_id", "file_name", *values, unnamed.alias("other_fields"))
