@@ -7,6 +7,7 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,44 +58,76 @@ def rule_for(item: list[str]) -> Rule:
 
 
 class Index:
-    """The seeds of some items: n-gram to (item number, position)."""
+    """The seeds of some items: n-grams without blanks to (item number, position, words).
+
+    A word in two parts, or two words in one, don't break an unchanged run, so runs are looked up as strings. A run begins where a
+    document's word begins. Where its last word is joined to the next, the n-gram one longer ends with a word, so both lengths are indexed.
+    """
+
+    #: Most characters by which the places that may begin a run are told from others.
+    HEAD = 8
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.items = [(key, t, rule_for(t)) for key, text in items if (t := tokens(text or ""))]
-        self.seeds: dict[int, dict[tuple, list[tuple[int, int]]]] = {r.seed: defaultdict(list) for r in (WORDS, CHARACTERS)}
+        self.seeds: dict[int, dict[str, list[tuple[int, int, int]]]] = {r.seed: defaultdict(list) for r in (WORDS, CHARACTERS)}
         for n, (_, t, rule) in enumerate(self.items):
             if len(t) >= rule.window - rule.edits:
-                for i in range(len(t) - rule.seed + 1):
-                    self.seeds[rule.seed][tuple(t[i : i + rule.seed])].append((n, i))
-        self.known = {w for grams in self.seeds.values() for g in grams for w in g}
+                for k in (rule.seed, rule.seed + 1):
+                    for i in range(len(t) - k + 1):
+                        self.seeds[rule.seed]["".join(t[i : i + k])].append((n, i, k))
+        self.head = min((len(g) for grams in self.seeds.values() for g in grams), default=self.HEAD)
+        self.head = min(self.head, self.HEAD)
+        self.heads = {g[: self.head] for grams in self.seeds.values() for g in grams}
+
+    def _hits(self, doc: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(item number, position, words; position, words) of the unchanged runs of a seed's length in an item and in ``doc``."""
+        text = "".join(doc)
+        starts = [0, *accumulate(map(len, doc))]
+        heads, head = self.heads, self.head
+        for j, o in enumerate(starts[:-1]):
+            if text[o : o + head] in heads:
+                for k, grams in self.seeds.items():
+                    for m in range((k + 1) // 2, min(2 * k, len(doc) - j) + 1):
+                        for n, i, words in grams.get(text[o : starts[j + m]], ()):
+                            if words == m and self.items[n][1][i : i + m] == doc[j : j + m] or _same_words(self.items[n][1][i : i + words], doc[j : j + m]):
+                                yield n, i, words, j, m
 
     def leaks(self, text: str) -> dict[int, tuple[int, int]]:
         """Item key to the first token span of ``text`` in which the item's words were found."""
         doc = tokens(text)
-        known = [t in self.known for t in doc]
         found: dict[int, tuple[int, int]] = {}
-        for k, grams in self.seeds.items():
-            hits: list[tuple[int, int, int]] = []
-            run = 0
-            for j, ok in enumerate(known):
-                run = run + 1 if ok else 0
-                if run >= k:
-                    hits += [(n, i, j - k + 1) for n, i in grams.get(tuple(doc[j - k + 1 : j + 1]), ())]
-            near = set(hits)
-            for n, i, j in hits:
-                key, item, rule = self.items[n]
-                if key in found or (n, i - 1, j - 1) in near:
-                    continue  # known, or the same unchanged run was tried from its start
-                end = 0
-                while i + end < len(item) and j + end < len(doc) and item[i + end] == doc[j + end]:
-                    end += 1
-                left = _reach(item[:i][::-1], doc[max(0, j - rule.window - rule.edits * 2) : j][::-1], rule, True)
-                right = _reach(item[i + end : i + end + rule.window], doc[j + end : j + end + rule.window + rule.edits * 2], rule, False)
-                if any(left[e][0] + end + right[rule.edits - e][0] >= rule.window for e in range(rule.edits + 1)):
-                    found[key] = (j - left[rule.edits][1], j + end + right[rule.edits][1])
+        hits = sorted(self._hits(doc), key=lambda h: (self.items[h[0]][2].seed, h[3]))
+        near = {(n, i, j) for n, i, _, j, _ in hits}
+        for n, i, words, j, m in hits:
+            key, item, rule = self.items[n]
+            if key in found or (n, i - 1, j - 1) in near and item[i - 1] == doc[j - 1]:
+                continue  # known, or the same unchanged run was tried from its start
+            a, b = i + words, j + m
+            while a < len(item) and b < len(doc) and item[a] == doc[b]:
+                a, b = a + 1, b + 1
+            most = 2 * rule.window + rule.edits
+            left = _reach(item[:i][::-1], doc[max(0, j - most) : j][::-1], rule, True)
+            right = _reach(item[a : a + rule.window], doc[b : b + most], rule, False)
+            if any(left[e][0] + a - i + right[rule.edits - e][0] >= rule.window for e in range(rule.edits + 1)):
+                found[key] = (j - left[rule.edits][1], b + right[rule.edits][1])
         return found
 
 
+def _same_words(item: list[str], doc: list[str]) -> bool:
+    """Whether both are the same words, of which some stand in two parts on one side."""
+    a = b = 0
+    while a < len(item) and b < len(doc):
+        if item[a] == doc[b]:
+            a, b = a + 1, b + 1
+        elif b + 1 < len(doc) and item[a] == doc[b] + doc[b + 1]:
+            a, b = a + 1, b + 2
+        elif a + 1 < len(item) and doc[b] == item[a] + item[a + 1]:
+            a, b = a + 2, b + 1
+        else:
+            return False
+    return a == len(item) and b == len(doc)
+
+
 def _reach(item: list[str], doc: list[str], rule: Rule, backwards: bool) -> list[tuple[int, int]]:
     """For 0..edits changes: the most tokens of ``item`` passed from its start, and those of ``doc`` passed with them.
 
@@ -144,7 +177,7 @@ def leaks(documents: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_
 
     Documents are scanned where they lie, without a shuffle; each block of items is broadcast (its size is bounded by
     ``block_chars``), so any number of items is handled by as many passes. Every window with few enough changes contains an
-    unchanged run of :attr:`Rule.seed` tokens, so the n-gram hits miss nothing; each hit is then checked exactly. Null
+    unchanged run of :attr:`Rule.seed` tokens, also if words are split or joined by blanks, so the n-gram hits miss nothing; each hit is then checked exactly. Null
     and empty texts, and items shorter than a window less its changes, give no rows; repeated documents each give theirs.
     """
     spark = documents.sparkSession
