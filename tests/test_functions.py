@@ -107,6 +107,15 @@ def test_scalars(spark):
     assert row.select(key.alias("k")).first().k == hashlib.sha256(json.dumps(want, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 
 
+def test_long_numbers_are_ordered_as_numbers(spark):
+    numbers = [7, 10**19, 10**20 + 5, 10**20 + 50, 10**21, 3 * 10**40, 10**41]
+    want = [f"u{n}_a" for n in numbers]
+    d = spark.createDataFrame([(v,) for v in reversed(want)], "v string")
+    assert [r.v for r in d.orderBy(scalars.natural_key(F.col("v"))).collect()] == want
+    same = spark.createDataFrame([("u007b", "U7b"), ("u0", "u000")], "a string, b string")
+    assert same.where(scalars.natural_key(F.col("a")) == scalars.natural_key(F.col("b"))).count() == 2
+
+
 def logp(rows):
     x = np.log(np.array(rows, float))
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))

@@ -43,10 +43,11 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def natural_key(text: Column) -> Column:
-    """A string whose order is that of ``text`` with digit runs compared as numbers, without case."""
+    """A string whose order is that of ``text`` with digit runs of any length compared as numbers, without case: a number's length stands before it."""
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"\d+|\D+"), 0)
-    padded = F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(F.regexp_replace(r, "^0+(?=.)", ""), 20, "0")).otherwise(r))
-    return F.array_join(padded, "")
+    number = lambda r: F.regexp_replace(r, "^0+(?=.)", "")
+    keyed = F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.concat(F.lpad(F.length(number(r)).cast("string"), 10, "0"), number(r))).otherwise(r))
+    return F.array_join(keyed, "")
 
 
 def slug(text: Column, most: int = 48) -> Column:
