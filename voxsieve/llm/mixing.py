@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxsieve.operators.ordered import running_total
-from voxsieve.session import scratch_path
+from voxsieve.session import settled
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the public byte-level tokenizer cuts text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: More membership patterns than this are refused; S sources have at most 2**S - 1.
-MOST_PATTERNS = 20_000
+#: More membership patterns than this are refused, as the flow holds one row per pattern on the driver; S sources have at most 2**S - 1, so 20 sources never reach it.
+MOST_PATTERNS = 1 << 20
+#: Up to so many patterns (some 100 bytes each) the spans are broadcast.
+BROADCAST_PATTERNS = 100_000
+#: What a smaller mix has to bring: a total less by one hundredth must bring the shares nearer by a thousandth.
+SIZE_WEIGHT = 0.1
+#: Texts per source and power of two of their size that may mend a source's tokens by one use more or less.
+SPARE_TEXTS = 16
 
 
 @lru_cache(2)
@@ -36,7 +44,8 @@ def token_counts(text: Column, path: str = TOKENIZER) -> Column:
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = _encoding(path)
         for s in parts:
-            yield s.map(lambda t: None if t is None else len(enc.encode_ordinary(t))).astype("Int64")
+            known = {t: len(enc.encode_ordinary(t)) for t in s.dropna().unique()}  # copies in a batch are encoded once
+            yield s.map(known).astype("Int64")
 
     return count(text)
 
@@ -59,52 +68,66 @@ def membership(documents: DataFrame, targets: list[str], seed: int, tokenizer: s
     return texts.withColumn("h", F.xxhash64(F.lit(seed), "key"))
 
 
-class Flow:
-    """Minimum-cost flow by successive shortest paths on a small network with whole capacities."""
-
-    def __init__(self) -> None:
-        self.to: list[int] = []
-        self.cap: list[int] = []
-        self.cost: list[int] = []
-        self.out: list[list[int]] = []
-
-    def node(self) -> int:
-        self.out.append([])
-        return len(self.out) - 1
-
-    def arc(self, a: int, b: int, cap: int, cost: int = 0) -> int:
-        for x, y, c, w in ((a, b, cap, cost), (b, a, 0, -cost)):
-            self.out[x].append(len(self.to))
-            self.to.append(y)
-            self.cap.append(c)
-            self.cost.append(w)
-        return len(self.to) - 2
-
-    def run(self, s: int, t: int) -> int:
-        """Send as much as fits from ``s`` to ``t``, cheapest paths first; the amount sent."""
-        sent = 0
-        while True:
-            dist, via, queue, queued = {s: 0}, {}, [s], {s}
+class Patterns:
+    """Membership patterns as arrays: ``size`` in tokens and what each source may take of each pattern."""
+
+    def __init__(self, patterns: dict[str, int], repeats: list[int]) -> None:
+        self.names = sorted(patterns)
+        self.size = np.array([patterns[p] for p in self.names], np.int64)
+        members = np.zeros((len(self.names), len(repeats)), np.int64)
+        for i, p in enumerate(self.names):
+            members[i, [int(x) - 1 for x in p.split(",")]] = 1
+        most = members * np.array(repeats, np.int64)
+        self.most_uses = most.max(axis=1, initial=0)
+        self.cap = most * self.size[:, None]
+
+
+def _spread(amount: int, room: np.ndarray) -> np.ndarray:
+    """``amount`` given out along ``room``, filling each place before the next."""
+    return np.clip(amount - (np.cumsum(room) - room), 0, room)
+
+
+def _flow(p: Patterns, quota: np.ndarray) -> np.ndarray:
+    """The cheapest tokens of each pattern for each source that fill as much of ``quota`` as can be filled.
+
+    The n-th use of a text costs n, the same for all patterns, so cheapest paths first means: a maximum flow with one use of
+    each text, from there one with two, and so on. A path enters a source by a pattern with room and goes on from source to source, where a pattern
+    gives to the next what it gave to the one before; all patterns between two sources are one arc, so paths are searched among the sources only.
+    """
+    flow, left, used = np.zeros_like(p.cap), quota.copy(), np.zeros_like(p.size)
+    sources = range(len(quota))
+    for level in range(1, int(p.most_uses.max(initial=0)) + 1):
+        while left.any():
+            spare = p.size * np.minimum(level, p.most_uses) - used
+            enter = np.minimum(spare[:, None], p.cap - flow)
+            entry = enter.sum(axis=0)
+            came: dict[int, int | None] = {s: None for s in sources if entry[s] > 0}
+            queue, end, gives = list(came), None, {}
             for a in queue:
-                queued.discard(a)
-                for e in self.out[a]:
-                    b = self.to[e]
-                    if self.cap[e] > 0 and dist[a] + self.cost[e] < dist.get(b, 1 << 60):
-                        dist[b], via[b] = dist[a] + self.cost[e], e
-                        if b not in queued:
-                            queued.add(b)
-                            queue.append(b)
-            if t not in via:
-                return sent
-            path, b = [], t
-            while b != s:
-                path.append(via[b])
-                b = self.to[via[b] ^ 1]
-            most = min(self.cap[e] for e in path)
-            for e in path:
-                self.cap[e] -= most
-                self.cap[e ^ 1] += most
-            sent += most
+                if left[a] > 0:
+                    end = a
+                    break
+                move = np.minimum(flow[:, a : a + 1], p.cap - flow)
+                for b in sources:
+                    if b not in came and (n := int(move[:, b].sum())) > 0:
+                        came[b], gives[b] = a, n
+                        queue.append(b)
+            if end is None:
+                break
+            path = [end]
+            while came[path[-1]] is not None:
+                path.append(came[path[-1]])
+            path.reverse()
+            amount = min([int(entry[path[0]]), int(left[end]), *[gives[b] for b in path[1:]]])
+            put = _spread(amount, enter[:, path[0]])
+            flow[:, path[0]] += put
+            used += put
+            for a, b in zip(path, path[1:]):
+                put = _spread(amount, np.minimum(flow[:, a], p.cap[:, b] - flow[:, b]))
+                flow[:, a] -= put
+                flow[:, b] += put
+            left[end] -= amount
+    return flow
 
 
 def route(patterns: dict[str, int], shares: list[float], repeats: list[int], total: int) -> tuple[dict[tuple[str, int], int], int]:
@@ -113,66 +136,118 @@ def route(patterns: dict[str, int], shares: list[float], repeats: list[int], tot
     The n-th use of a text costs n, so every text is used once before any is used again. A text is
     used at most ``repeats[s]`` times for source s and at most the largest of these times in all.
     """
-    net = Flow()
-    start, end = net.node(), net.node()
-    sinks = [net.node() for _ in shares]
-    for s, share in enumerate(shares):
-        net.arc(sinks[s], end, int(total * share))
-    arcs = {}
-    for p, size in sorted(patterns.items()):
-        members = [int(x) - 1 for x in p.split(",")]
-        at = net.node()
-        for level in range(1, max(repeats[s] for s in members) + 1):
-            net.arc(start, at, size, level)
-        for s in members:
-            arcs[p, s] = net.arc(at, sinks[s], size * repeats[s])
-    placed = net.run(start, end)
-    return {k: net.cap[e ^ 1] for k, e in arcs.items() if net.cap[e ^ 1]}, placed
+    p = Patterns(patterns, repeats)
+    flow = _flow(p, np.array([int(total * x) for x in shares], np.int64))
+    return {(p.names[i], int(s)): int(flow[i, s]) for i, s in zip(*np.nonzero(flow), strict=True)}, int(flow.sum())
 
 
 def largest_total(patterns: dict[str, int], shares: list[float], repeats: list[int]) -> int:
     """The largest total for which every share can be met; targets without any text are passed over."""
-    fed = {int(x) - 1 for p, n in patterns.items() for x in p.split(",") if n > 0 and repeats[int(x) - 1] > 0}
-    wanted = [x if s in fed else 0.0 for s, x in enumerate(shares)]
-    if not fed or not any(wanted):
+    wanted = _fed(patterns, shares, repeats)
+    if not any(wanted):
         return 0
-    low, high = 0, int(sum(n * max(repeats) for n in patterns.values()) / sum(wanted)) + 1
+    p = Patterns(patterns, repeats)
+    low, high = 0, int(int(p.cap.sum()) / sum(wanted)) + 1
     while high - low > max(1, low // 1_000_000):
         mid = (low + high) // 2
-        low, high = (mid, high) if route(patterns, wanted, repeats, mid)[1] >= sum(int(mid * w) for w in wanted) else (low, mid)
+        quota = np.array([int(mid * w) for w in wanted], np.int64)
+        low, high = (mid, high) if _flow(p, quota).sum() >= quota.sum() else (low, mid)
     return low
 
 
-def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 11, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
+def _fed(patterns: dict[str, int], shares: list[float], repeats: list[int]) -> list[float]:
+    """The shares of the targets that have any text, 0 for the others."""
+    fed = {int(x) - 1 for p, n in patterns.items() for x in p.split(",") if n > 0 and repeats[int(x) - 1] > 0}
+    return [x if s in fed else 0.0 for s, x in enumerate(shares)]
+
+
+def balanced_total(patterns: dict[str, int], shares: list[float], repeats: list[int], size_weight: float = SIZE_WEIGHT) -> int:
+    """The total with the least ``missing share + size_weight * ln(corpus / total)``.
+
+    ``missing share`` is the part of the total that sources at their repeat limit can't give. Tried are the size of the corpus (every text
+    once) and, for each source, the size at which its own texts would just be enough, as the sum bends only where a source reaches its limit.
+    A small source thus doesn't shrink the mix to its own size, while a large one that falls a little short does lower the total a little.
+    """
+    wanted = _fed(patterns, shares, repeats)
+    if not any(wanted):
+        return 0
+    p = Patterns(patterns, repeats)
+    corpus = int(p.size.sum())
+    alone = [int(int(p.cap[:, s].sum()) / w) for s, w in enumerate(wanted) if w > 0]
+
+    def loss(total: int) -> float:
+        quota = np.array([int(total * w) for w in wanted], np.int64)
+        return float(quota.sum() - _flow(p, quota).sum()) / total + size_weight * math.log(corpus / total)
+
+    return min(sorted({corpus, *(n for n in alone if 0 < n < corpus)}, reverse=True), key=loss)
+
+
+def _repairs(gaps: dict[str, int], spare: list) -> list[tuple[int, str, int]]:
+    """(doc_id, source, -1 or 1): uses to drop or add until each gap is smaller than any text at hand; larger texts first."""
+    out = []
+    for source, gap in sorted(gaps.items()):
+        sign = 1 if gap > 0 else -1
+        for r in sorted((r for r in spare if r["source"] == source and r["sign"] == sign), key=lambda r: (-r["n_tokens"], r["doc_id"])):
+            if r["n_tokens"] <= abs(gap):
+                gap -= sign * r["n_tokens"]
+                out.append((r["doc_id"], source, sign))
+    return out
+
+
+def mix(
+    documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 11, tokenizer: str = TOKENIZER, every_share_met: bool = False, size_weight: float = SIZE_WEIGHT
+) -> tuple[DataFrame, DataFrame]:
     """(chosen, shares) of a mix whose sources have their target shares of the tokens.
 
     ``chosen``: ``doc_id, source, repeats, n_tokens``, a text for each source that uses it. ``shares``: per target its
-    share, capacity, quota, tokens, actual share and numbers of texts and uses. Without ``total_tokens`` the total is the largest for which ``max_repeats``
-    lets every share be met; with a larger one, sources that run out fall short and the report says so.
+    share, tokens at hand, quota, tokens, actual share and numbers of texts and uses. Without ``total_tokens`` the total is that of
+    :func:`balanced_total`, about the size of the corpus: sources whose repeats run out fall short, the others keep their proportions, and the report
+    says so. With ``every_share_met`` it is the largest for which ``max_repeats`` lets every share be met, however small.
     Per pattern the texts lie in seeded order on a line as long as their tokens; a source takes a span of it, going
-    round again for repeats, and with it each text whose middle lies there. Quotas are thus met to within half a text at either end. Empty tables give an empty mix.
+    round again for repeats, and with it each text whose middle lies there. Single uses are then added or dropped (of the smallest texts of each power of two, a
+    bounded number) until a source's quota is met to within its smallest text. Empty tables give an empty mix.
     """
     spark = documents.sparkSession
     rows = [r for r in targets.where("source is not null").orderBy("source").collect()]  # one row per source
     names, shares, repeats = [plain_source_name(r["source"]) for r in rows], [float(r["target_share"] or 0) for r in rows], [int(r["max_repeats"] or 0) for r in rows]
-    path = scratch_path(spark, "mix")
-    membership(documents, names or [""], seed, tokenizer).write.parquet(path)
-    texts = spark.read.parquet(path)
+    texts = settled(membership(documents, names or [""], seed, tokenizer).where("n_tokens > 0"), "mix-texts")
     sizes = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).limit(MOST_PATTERNS + 1).collect()
     if len(sizes) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
-    patterns = {r["pattern"]: int(r["n"]) for r in sizes if r["n"]}
-    total = largest_total(patterns, shares, repeats) if total_tokens is None else total_tokens
-    given, _ = route(patterns, shares, repeats, total) if patterns else ({}, 0)
+    patterns = {r["pattern"]: int(r["n"]) for r in sizes}
+    if total_tokens is None:
+        total_tokens = largest_total(patterns, shares, repeats) if every_share_met else balanced_total(patterns, shares, repeats, size_weight)
+    given, _ = route(patterns, shares, repeats, total_tokens) if patterns else ({}, 0)
     spans, at = [], dict.fromkeys(patterns, 0)
-    for (p, s), n in sorted(given.items()):
-        spans.append((p, names[s], at[p], at[p] + n, patterns[p]))
-        at[p] += n
-    placed = F.broadcast(spark.createDataFrame(spans, "pattern string, source string, lo long, hi long, size long"))
-    lined = running_total(texts.where("n_tokens > 0"), ["pattern"], "h", ["key"], "n_tokens", "start")
-    turn = lambda bound: F.ceil((F.col(bound) - F.col("start") - F.col("n_tokens") / 2) / F.col("size"))
-    chosen = lined.join(placed, "pattern").withColumn("repeats", (turn("hi") - turn("lo")).cast("int")).where("repeats > 0").select("doc_id", "source", "repeats", "n_tokens")
-    wanted = spark.createDataFrame([(n, x, r, sum(v for p, v in patterns.items() if str(i + 1) in p.split(",")), int(total * x)) for i, (n, x, r) in enumerate(zip(names, shares, repeats, strict=True))], "source string, target_share double, max_repeats int, available_tokens long, quota_tokens long")
+    for p in sorted(patterns):
+        members = [int(x) - 1 for x in p.split(",")]
+        of = []
+        for s in members:
+            n = given.get((p, s), 0)
+            of.append((names[s], at[p], at[p] + n, repeats[s]))
+            at[p] += n
+        spans.append((p, of, patterns[p], max(repeats[s] for s in members)))
+    placed = spark.createDataFrame(spans, "pattern string, spans array<struct<source:string,lo:long,hi:long,most:int>>, size long, most_uses int")
+    placed = F.broadcast(placed) if len(spans) <= BROADCAST_PATTERNS else placed
+    lined = running_total(texts, ["pattern"], "h", ["key"], "n_tokens", "start").join(placed, "pattern")
+    turn = lambda bound: F.ceil((bound - F.col("start") - F.col("n_tokens") / 2) / F.col("size"))
+    each = F.transform("spans", lambda x: F.struct(x["source"].alias("source"), x["most"].alias("most"), (turn(x["hi"]) - turn(x["lo"])).cast("int").alias("repeats")))
+    lined = lined.withColumn("each", each).withColumn("uses", F.aggregate("each", F.lit(0), lambda n, x: n + x["repeats"]))
+    uses = settled(lined.select("doc_id", "n_tokens", "h", "uses", "most_uses", F.explode("each").alias("e")).select("doc_id", "n_tokens", "h", "uses", "most_uses", "e.*"), "mix-uses")
+    quotas = {n: int(total_tokens * x) for n, x in zip(names, shares, strict=True)}
+    tokens = {r["source"]: int(r["t"]) for r in uses.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("t")).collect()}
+    gaps = {n: quotas[n] - t for n, t in tokens.items() if quotas[n] != t}
+    signed = uses.withColumn("sign", F.coalesce(*[F.when(F.col("source") == n, 1 if g > 0 else -1) for n, g in gaps.items()], F.lit(0)))
+    can = F.when(F.col("sign") > 0, (F.col("repeats") < F.col("most")) & (F.col("uses") < F.col("most_uses"))).otherwise((F.col("sign") < 0) & (F.col("repeats") > 0))
+    nth = F.row_number().over(Window.partitionBy("source", "sign", F.floor(F.log2("n_tokens"))).orderBy("n_tokens", "h", "doc_id"))
+    spare = signed.where(can).withColumn("nth", nth).where(F.col("nth") <= SPARE_TEXTS).select("doc_id", "source", "sign", "n_tokens").collect() if gaps else []
+    fixes = _repairs(gaps, spare)
+    chosen = uses.select("doc_id", "source", "repeats", "n_tokens")
+    if fixes:
+        table = F.broadcast(spark.createDataFrame(fixes, "doc_id " + dict(documents.dtypes)["doc_id"] + ", source string, more int"))
+        chosen = chosen.join(table, ["doc_id", "source"], "left").select("doc_id", "source", (F.col("repeats") + F.coalesce("more", F.lit(0))).alias("repeats"), "n_tokens")
+    chosen = chosen.where("repeats > 0")
+    wanted = spark.createDataFrame([(n, x, r, sum(v for p, v in patterns.items() if str(i + 1) in p.split(",")), quotas[n]) for i, (n, x, r) in enumerate(zip(names, shares, repeats, strict=True))], "source string, target_share double, max_repeats int, available_tokens long, quota_tokens long")
     used = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count(F.lit(1)).alias("n_texts"), F.sum("repeats").cast("long").alias("n_uses"), F.max("repeats").alias("most_repeats"))
     all_tokens = used.agg(F.sum("tokens").alias("all_tokens"))
     report = wanted.join(used, "source", "left").join(F.broadcast(all_tokens)).na.fill(0, ["tokens", "n_texts", "n_uses", "most_repeats"])
