@@ -142,3 +142,47 @@ def test_blocks_nulls_and_other_columns(spark):
     assert {r.item_id: (r.n_documents, r.longest_span) for r in lk.item_report(got).collect()} == dict.fromkeys(range(3), (1, 20))
     assert lk.leaks(docs.limit(0), items).count() == 0 and lk.leaks(docs, items.limit(0)).count() == 0
     assert "Exchange" not in lk.leaks(docs.select("doc_id", F.col("text")), items)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_are_exact():
+    fill = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    item = fill("w", 40)
+    index = lk.Index([(1, " ".join(item))])
+    at = lambda doc: index.leaks(" ".join(doc))[1]
+    assert at(fill("x", 20) + item[3:15] + fill("y", 20)) == [(20, 32)]
+    assert at(fill("x", 20) + item[3:9] + ["other"] + item[10:16] + fill("y", 20)) == [(20, 33)]
+    assert at(fill("x", 20) + item[:13] + fill("y", 50) + item[13:] + ["z"]) == [(20, 33), (83, 110)]
+    scattered = [w if i % 7 else f"q{i}" for i, w in enumerate(item)]
+    assert at(fill("x", 5) + scattered) == [(6, 45)]  # the first word is changed
+    assert at(item * 2) == [(0, 80)]
+
+
+def test_places_of_tokens_and_cut_texts(spark):
+    for text in pd.read_parquet(f"{ROOT}/sf0.01/documents.parquet").text.dropna():
+        words, places = lk.placed_tokens(text)
+        assert words == lk.tokens(text)
+        assert all(a < b <= c for (a, b), (c, _) in zip(places, places[1:], strict=False))
+    item = "When Marek followed the tidy ferry, an island mended twelve old hammocks beyond Petra's café."
+    docs = spark.createDataFrame([(1, f"Before: {item} And after."), (1, f"Before: {item} And after."), (2, None), (3, ""), (4, "Nothing here.")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id int, text string")
+    got = sorted(map(tuple, lk.cleaned(docs, items).collect()))
+    assert [r[:2] for r in got] == [(1, 1), (1, 1), (2, 0), (3, 0), (4, 0)]
+    assert [r[2] for r in got if r[0] != 2] == ["Before:  . And after."] * 2 + ["", "Nothing here."]
+    assert lk.leaks(lk.cleaned(docs, items), items).count() == 0
+
+
+def test_many_blocks_and_long_items(spark):
+    """More items than one block takes, and one item longer than a segment, give the rows of a single index."""
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(3000)]
+    long_item = [rng.choice(words) for _ in range(12_000)]
+    items = [(0, " ".join(long_item))] + [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(1, 60)]
+    docs = []
+    for i in range(120):
+        source = items[i % 60][1].split()
+        at = rng.randrange(len(source) - 14)
+        docs.append((i, " ".join(rng.choices(words, k=30) + source[at : at + rng.choice([8, 14])] + rng.choices(words, k=30))))
+    docs.append((999, " ".join(long_item[4900:5100])))
+    d, t = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, many = (sorted(map(tuple, lk.leaks(d, t, block_chars=n).collect())) for n in (10**7, 4_000))
+    assert one == many and (999, 0, 1, 200) in many

@@ -43,6 +43,10 @@ def p6_kept(spark: SparkSession, root: str) -> DataFrame:
     return leakage.without_leaks(documents, leakage.leaks(documents, table(spark, root, "eval_items"))).select("doc_id", "n_chars")
 
 
+def p6_cleaned(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.cleaned(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
 def p7_mix(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
 
@@ -61,7 +65,7 @@ def p8_profile(spark: SparkSession, root: str) -> DataFrame:
     return reading.profile(reading.reading_levels(documents, table(spark, root, "level_labels")), ["plain_source", "script"])
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_plain, p6_found, p6_items, p6_kept, p7_mix, p7_shares, p8_levels, p8_profile)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_plain, p6_found, p6_items, p6_kept, p6_cleaned, p7_mix, p7_shares, p8_levels, p8_profile)}
 
 ORACLES = {
     "p2_found": """
