@@ -7,7 +7,6 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -69,11 +68,15 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-@lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the multiplier and of its inverse, modulo 2**64."""
-    both = [np.concatenate(([np.uint64(1)], np.full(n - 1, x, np.uint64))) for x in (_BASE, _INVERSE)]
-    return np.multiply.accumulate(both[0]), np.multiply.accumulate(both[1])
+_known_powers: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """At least the first ``n`` powers of the multiplier and of its inverse, modulo 2**64; kept per process."""
+    if not _known_powers or len(_known_powers[0]) < n:
+        row = [np.concatenate(([np.uint64(1)], np.full(n - 1, x, np.uint64))) for x in (_BASE, _INVERSE)]
+        _known_powers[:] = [np.multiply.accumulate(x) for x in row]
+    return _known_powers
 
 
 class _Hashed:
