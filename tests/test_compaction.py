@@ -77,6 +77,60 @@ def test_files_of_two_schemas(spark, tmp_path):
     assert rows.count() == 50 and rows.where("flag is null").count() == 25
 
 
+def test_small_blocks_become_one():
+    parts = [sample(7, 7 * i) for i in range(30)]
+    plain = [encoded(p, use_dictionary=False, compression=["snappy", "zstd"][i % 10 == 9], data_page_version="2.0" if i % 5 == 0 else "1.0", row_group_size=3) for i, p in enumerate(parts)]
+    out = io.BytesIO()
+    w = BlockWriter(out, group_bytes=1 << 20)
+    for b in plain:
+        w.append(io.BytesIO(b), len(b))
+    w.close()
+    assert pq.read_table(io.BytesIO(out.getvalue())).equals(pa.concat_tables(parts))
+    assert pq.ParquetFile(io.BytesIO(out.getvalue())).metadata.num_row_groups == 6  # a change of codec begins a block
+    out = io.BytesIO()
+    w = BlockWriter(out, group_bytes=1500)
+    for b in (plain[0], encoded(parts[1]), plain[2], plain[3], encoded(parts[4].slice(0, 0), use_dictionary=False)):
+        w.append(io.BytesIO(b), len(b))
+    w.close()
+    assert pq.read_table(io.BytesIO(out.getvalue())).equals(pa.concat_tables([parts[i] for i in (0, 1, 2, 3)]))
+
+
+def test_tiny_files_with_dictionaries(spark, tmp_path, monkeypatch):
+    data = encoded(sample(50))
+    plain = cp._without_dictionaries(data)
+    assert plain != data and pq.read_table(io.BytesIO(plain)).equals(sample(50)) and cp._without_dictionaries(plain) == plain
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"{i:03d}.parquet").write_bytes(encoded(sample(5, 5 * i)))
+    audit = cp.compact(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").toPandas()
+    assert audit.n_blocks.sum() == 40 and audit.n_blocks_out.sum() == 1
+    monkeypatch.setattr(cp, "TINY_BYTES", 0)  # blocks with dictionaries are copied as they are, a bounded number to a file
+    monkeypatch.setattr(cp, "MOST_BLOCKS", 15)
+    rows = cp._merge_bin([f"file://{tmp_path}/in/{i:03d}.parquet" for i in range(40)], f"file://{tmp_path}/parts/p")
+    assert [(r[1], r[3]) for r in rows] == [(15, 15), (15, 15), (10, 10)]
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == spark.read.parquet(f"file://{tmp_path}/parts").count() == 200
+
+
+def test_scattered_manifests_come_back(spark, tmp_path):
+    rows = spark.createDataFrame([(i, None if i % 50 == 0 else f"m{i % 37 if i % 3 else 0}", f"t{i}") for i in range(900)], "row_id long, manifest_file string, t string")
+    listed = cp.scattered(rows, f"file://{tmp_path}/tiny")
+    assert listed.count() == len(list((tmp_path / "tiny").iterdir())) == 38
+    audit = cp.compact(spark, f"file://{tmp_path}/tiny", f"file://{tmp_path}/few", listed=listed).toPandas()
+    assert (audit.n_files.sum(), len(audit), audit.n_rows.sum(), audit.n_blocks_out.sum()) == (38, 1, 900, 1)
+    back = spark.read.parquet(f"file://{tmp_path}/few")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    assert cp.scattered(rows.limit(0), f"file://{tmp_path}/none").count() == 0
+
+
+def test_records_are_written_once(spark, tmp_path):
+    rows = [(i, f"/d/{i % 40}.wav", f"AB{i % 40}" if i % 2 else f"ab{i % 40}", 100) for i in range(200)] + [(900, None, "ab", 100), (901, None, "ab", None)]
+    df = spark.createDataFrame(rows, "row_id long, source_wav string, pcm_sha256 string, record_bytes int")
+    got = cp.written_once(df, f"file://{tmp_path}/once", file_bytes=1500).first()
+    assert (got.n_rows, got.n_bytes, got.n_files) == (42, 4100, 3)
+    none = cp.written_once(df.limit(0), f"file://{tmp_path}/no").first()
+    assert (none.n_rows, none.n_bytes) == (0, 0)
+
+
 def test_redeliveries(spark):
     rows = [(1, "/d/a.wav", "AB"), (2, "file:///d/a.wav", "ab"), (3, "/d//./a.wav", "aB"), (4, "/d/A.wav", "ab"), (5, None, "ab"), (6, None, "ab"), (7, "/d/a.wav", None), (8, "/d/a.wav", "cd"), (9, "s3://b/d/a.wav", "cd"), (1, "/d/a.wav", "AB")]
     df = spark.createDataFrame(rows, "row_id long, source_wav string, pcm_sha256 string").withColumn("key", F.lit("clash"))

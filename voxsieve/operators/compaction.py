@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import math
 import posixpath
@@ -12,61 +13,91 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxsieve.operators.skew import heavy_keys, salted_left_join
-from voxsieve.session import scratch_path
-from voxsieve.sources.parquet_blocks import BlockWriter, IncompatibleBlocks
+from voxsieve.session import scratch_path, settled
+from voxsieve.sources.parquet_blocks import BlockWriter, IncompatibleBlocks, has_dictionary, read_footer, schema_of
 
-AUDIT = "bin int, out_file string, n_files long, n_blocks long, n_rows long, n_bytes long, n_apart long"
+AUDIT = "bin int, out_file string, n_files long, n_blocks long, n_blocks_out long, n_rows long, n_bytes long, n_apart long"
+#: About the size of the blocks that small ones are joined to; a task holds one of them.
+GROUP_BYTES = 32 << 20
+#: Blocks in one output file; more go to a further file, so that footers stay small.
+MOST_BLOCKS = 4096
+#: Files up to this size whose blocks have dictionaries are encoded anew without, so that their blocks can be joined.
+TINY_BYTES = 1 << 20
 
 
 class CompactionError(RuntimeError):
     """The written files don't hold what the source files hold."""
 
 
+def _without_dictionaries(data: bytes) -> bytes:
+    """A tiny Parquet file encoded anew without dictionaries, or as it is where that would change its schema or types."""
+    import pyarrow.parquet as pq
+
+    footer = read_footer(io.BytesIO(data), len(data))
+    if not any(has_dictionary(g) for g in footer[4][1][1]):
+        return data
+    try:
+        meta = pq.ParquetFile(io.BytesIO(data)).metadata
+        codec = meta.row_group(0).column(0).compression.lower()
+        out = io.BytesIO()
+        pq.write_table(pq.ParquetFile(io.BytesIO(data)).read(), out, use_dictionary=False, compression="none" if codec == "uncompressed" else codec, row_group_size=max(1, meta.num_rows))
+    except (ValueError, OSError, NotImplementedError):
+        return data
+    return out.getvalue() if schema_of(read_footer(out, out.getbuffer().nbytes)) == schema_of(footer) else data
+
+
 def _merge_bin(sources: list[str], target: str) -> list[tuple]:
-    """Copy the blocks of ``sources`` into files under ``target``; one output per schema met, written aside and renamed."""
+    """Copy the blocks of ``sources`` into files under ``target``; one output per schema met and MOST_BLOCKS blocks, written aside and renamed."""
     import os
 
     from pyarrow import fs as pafs
 
     waiting, part, out = list(sources), 0, []
     while waiting:
-        left, bytes_in, blocks, files = [], 0, 0, 0
+        left, apart, bytes_in, blocks, files = [], 0, 0, 0, 0
         name = f"{target}-{part:03d}.parquet"
         where, path = pafs.FileSystem.from_uri(name)
         where.create_dir(posixpath.dirname(path), recursive=True)
         aside = f"{posixpath.dirname(path)}/_{posixpath.basename(path)}.{os.getpid()}-{os.urandom(4).hex()}"
         with where.open_output_stream(aside) as sink:
-            writer = BlockWriter(sink)
-            for uri in waiting:
+            writer = BlockWriter(sink, GROUP_BYTES)
+            for i, uri in enumerate(waiting):
+                if len(writer.groups) >= MOST_BLOCKS:
+                    left += waiting[i:]
+                    break
                 src, p = pafs.FileSystem.from_uri(uri)
                 size = src.get_file_info(p).size
                 with src.open_input_file(p) as f:
+                    data = io.BytesIO(_without_dictionaries(f.read())) if size <= TINY_BYTES else f
                     try:
-                        n, _ = writer.append(f, size)
+                        n, _ = writer.append(data, size if data is f else data.getbuffer().nbytes)
                     except IncompatibleBlocks:
                         if not files:  # it fits nowhere, not even alone
                             raise
                         left.append(uri)
+                        apart += 1
                         continue
                 bytes_in, blocks, files = bytes_in + size, blocks + n, files + 1
             writer.close()
         where.move(aside, path)  # a repeated or speculative task replaces the file by the same bytes
-        out.append((name, files, blocks, writer.rows, bytes_in, len(left)))
+        out.append((name, files, blocks, len(writer.groups), writer.rows, bytes_in, apart))
         waiting, part = left, part + 1
     return out
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20) -> DataFrame:
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20, listed: DataFrame | None = None) -> DataFrame:
     """Join the Parquet files under ``source`` into files of about ``file_bytes`` each under ``target``.
 
     Encoded column blocks (row groups) are copied byte by byte and only footers are written anew, so no value is
-    decoded. Files are dealt to bins by a hash of their path; the number of bins follows from the total size. A
-    bin's task reads its files one after the other and holds one block at a time. Files with another schema go to an output
-    of their own. Afterwards schema, block counts and row totals are compared with what Spark reads on both sides;
+    decoded. Small blocks without dictionaries become one block of up to GROUP_BYTES, their pages unchanged; only files up to TINY_BYTES with
+    dictionaries, whose blocks could never be joined, are encoded anew first. Files are dealt to bins by a hash of their path; the number of bins follows from the total size. A
+    bin's task reads its files one after the other and holds one block at a time, and the footer of at most MOST_BLOCKS blocks. Files with another schema go to an output
+    of their own. ``listed`` (``path, length``) saves listing the folder. Afterwards schema, block counts and row totals are compared with what Spark reads on both sides;
     a difference raises :class:`CompactionError`. Returns the audit, one row per written file; it is a table on disk. A source without files or rows gives an empty
     audit, nulls and repeated rows are copied as they are.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(source).select("path", "length")
+    if listed is None:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(source).select("path", "length")
     total = listed.agg(F.sum("length").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if not total["n"]:
         return spark.createDataFrame([], AUDIT)
@@ -93,6 +124,56 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256
     return audit
 
 
+def scattered(rows: DataFrame, folder: str, manifest: str = "manifest_file") -> DataFrame:
+    """``rows`` as they are delivered: a Parquet file for each value of ``manifest`` under ``folder``; returns the listing ``path, length``, a table on disk.
+
+    A null manifest counts as ''. Manifests are sorted in their partition, so a task holds one at a time; a file is named by the digest of its manifest's name and
+    written aside and renamed.
+    """
+    schema = rows.schema
+
+    def write(batches: Iterator) -> Iterator:
+        import os
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        where, base = pafs.FileSystem.from_uri(folder)
+        where.create_dir(base, recursive=True)
+
+        def put(key: str, parts: list) -> tuple[str, int]:
+            path = f"{base}/{hashlib.sha256(key.encode()).hexdigest()[:32]}.parquet"
+            aside = f"{base}/_{os.urandom(8).hex()}"
+            out = io.BytesIO()
+            pq.write_table(pa.Table.from_batches(parts), out, use_dictionary=False)
+            with where.open_output_stream(aside) as f:
+                f.write(out.getbuffer())
+            where.move(aside, path)
+            return f"{folder}/{path.rsplit('/', 1)[1]}", out.getbuffer().nbytes
+
+        done, now, held = [], None, []
+        for batch in batches:
+            keys = batch.column("_manifest")
+            batch = batch.drop_columns("_manifest")
+            ends = pc.run_end_encode(keys)
+            at = 0
+            for key, end in zip(ends.values.to_pylist(), ends.run_ends.to_pylist(), strict=True):
+                if held and key != now:
+                    done.append(put(now, held))
+                    held = []
+                now = key
+                held.append(batch.slice(at, end - at))
+                at = end
+        if held:
+            done.append(put(now, held))
+        yield pa.RecordBatch.from_pydict({"path": [p for p, _ in done], "length": pa.array([n for _, n in done], pa.int64())})
+
+    keyed = rows.select(F.coalesce(F.col(manifest), F.lit("")).alias("_manifest"), *schema.names)
+    return settled(keyed.repartition("_manifest").sortWithinPartitions("_manifest").mapInArrow(write, "path string, length long"), "manifests")
+
+
 def absolute_path(uri: Column) -> Column:
     """The absolute path a URI or path names: no scheme or authority, no empty or ``.`` segment; case is kept."""
     bare = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
@@ -148,6 +229,23 @@ def manifest_layout(rows: DataFrame, manifest: str = "manifest_file", size: str
     return each.join(F.broadcast(bins)).withColumn("target_file", F.pmod(F.xxhash64("manifest_file"), F.col("bins")).cast("int")).drop("bins")
 
 
+def written_once(rows: DataFrame, folder: str, size: str = "record_bytes", file_bytes: int = 256 << 20) -> DataFrame:
+    """Write the records of ``rows``, each exactly once, into as few files under ``folder`` as their size needs; one row ``n_rows, n_bytes, n_files`` read back from there.
+
+    Records are dealt to files by the hash of all their columns. Raises CompactionError if the files hold another number of records.
+    An empty table gives no rows and no files.
+    """
+    kept = settled(exactly_once(rows), "exactly-once")
+    total = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    files = max(1, math.ceil(total["b"] / file_bytes))
+    kept.repartition(files, *kept.columns).write.mode("overwrite").parquet(folder)
+    back = rows.sparkSession.read.parquet(folder)
+    found = back.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("n_bytes"), F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
+    if found.first()["n_rows"] != total["n"]:
+        raise CompactionError(f"{total['n']} records to write, {found.first()['n_rows']} written")
+    return found
+
+
 def joined_bytes(blobs: list[bytes]) -> bytes:
     """The Parquet file that holds the blocks of the Parquet files ``blobs``, in order."""
     out = io.BytesIO()

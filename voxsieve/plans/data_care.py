@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxsieve.operators import compaction, orphans
 from voxsieve.sources.tables import table
@@ -34,15 +35,24 @@ def p5_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p5_files(spark: SparkSession, root: str) -> DataFrame:
-    _, audit = compaction.compacted_rows(spark, f"{root}/sep_audio_cache_manifest.parquet")
-    return audit.drop("out_file")
+    """The manifests written as the tiny files they came in, and these consolidated by copying their blocks."""
+    tiny = compaction.scratch_path(spark, "tiny-files")
+    listed = compaction.scattered(table(spark, root, "sep_audio_cache_manifest"), tiny)
+    audit = compaction.compact(spark, tiny, compaction.scratch_path(spark, "compacted"), listed=listed)
+    return audit.agg(F.sum("n_files").alias("files_in"), F.count(F.lit(1)).alias("files_out"), F.sum("n_blocks").alias("blocks_in"), F.sum("n_rows").alias("n_rows"))
 
 
 def p5_layout(spark: SparkSession, root: str) -> DataFrame:
     return compaction.manifest_layout(table(spark, root, "sep_audio_cache_manifest"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_report, p5_found, p5_records, p5_files, p5_layout)}
+def p5_written(spark: SparkSession, root: str) -> DataFrame:
+    """The consolidated records, each exactly once, written to few files: what these hold."""
+    rows, _ = compaction.compacted_rows(spark, f"{root}/sep_audio_cache_manifest.parquet")
+    return compaction.written_once(rows, compaction.scratch_path(spark, "written-once"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_report, p5_found, p5_records, p5_files, p5_layout, p5_written)}
 
 _P4 = """
 WITH refs AS (
@@ -68,4 +78,7 @@ ORACLES = {
     "p4_report": _P4 + "SELECT table_name, coalesce(strftime(own, '%Y-%m'), 'unknown') AS month, kind, count(*) AS n_rows FROM found WHERE kind IS NOT NULL GROUP BY ALL",
     "p5_found": _P5 + "SELECT row_id FROM ranked WHERE nth > 1",
     "p5_records": _P5 + "SELECT * EXCLUDE (k, nth) FROM ranked WHERE nth = 1",
+    # the tables' manifests, about 3 KB each, make one file
+    "p5_files": "SELECT count(DISTINCT coalesce(manifest_file, '')) AS files_in, 1 AS files_out, count(DISTINCT coalesce(manifest_file, '')) AS blocks_in, count(*) AS n_rows FROM sep_audio_cache_manifest",
+    "p5_written": _P5 + "SELECT count(*) AS n_rows, coalesce(sum(record_bytes), 0)::BIGINT AS n_bytes, greatest(1, ceil(coalesce(sum(record_bytes), 0) / 268435456))::BIGINT AS n_files FROM ranked WHERE nth = 1",
 }

@@ -115,22 +115,26 @@ def read_footer(f: BinaryIO, size: int) -> dict:
 
 
 class BlockWriter:
-    """Appends the row groups of Parquet files to one output file.
+    """Appends the row groups (blocks) of Parquet files to one output file.
 
-    Field ids are those of the format: file 2 schema, 3 rows, 4 row groups, 5 key-value pairs; row group 1 columns, 3 rows,
-    5 offset, 6 size, 7 ordinal; column chunk 2 offset, 3 metadata, 4-7 page indexes; metadata 7 size, 9-11 page offsets, 14-15 bloom filter.
+    With ``group_bytes`` small blocks without dictionaries become one: the pages of each column are laid one behind the other, unchanged, until the
+    new block has about that size; so much is held in memory. A dictionary belongs to its block, so blocks with one stay blocks of their own.
+    Field ids are those of the format: file 2 schema, 3 rows, 4 row groups, 5 key-value pairs; row group 1 columns, 2 bytes, 3 rows, 4 sorting,
+    5 offset, 6 size, 7 ordinal; column chunk 2 offset, 3 metadata, 4-7 page indexes; metadata 2 encodings, 4 codec, 5 values, 6-7 sizes, 9-11 page offsets (11 dictionary),
+    12-13 and 16 statistics, 14-15 bloom filter.
     """
 
-    def __init__(self, out: BinaryIO) -> None:
+    def __init__(self, out: BinaryIO, group_bytes: int = 0) -> None:
         self.out, self.at, self.footer, self.groups, self.rows = out, 4, None, [], 0
+        self.group_bytes, self.pending, self.held, self.pending_bytes = group_bytes, None, [], 0
         out.write(MAGIC)
 
     def append(self, f: BinaryIO, size: int) -> tuple[int, int]:
         """Copy all blocks of the open file ``f``; (blocks, rows) copied. Raises IncompatibleBlocks before anything is written."""
         footer = read_footer(f, size)
-        schema = (_encode(*footer[2]), _encode(*footer[7]) if 7 in footer else b"")
+        schema = schema_of(footer)
         if self.footer is None:
-            self.footer, self.schema = {k: v for k, v in footer.items() if k not in (8, 9)}, schema
+            self.footer, self.schema = {k: v for k, v in footer.items() if k not in (4, 8, 9)}, schema
         elif schema != self.schema:
             raise IncompatibleBlocks("another schema")
         elif 5 in self.footer and footer.get(5) != self.footer[5]:
@@ -142,35 +146,97 @@ class BlockWriter:
                     raise IncompatibleBlocks("its blocks are encrypted or lie in another file")
         rows = 0
         for group in groups:
-            start = self.at
+            blocks = []
             for chunk in group[1][1][1]:
                 meta = chunk[3][1]
-                first = min(meta[k][1] for k in (9, 11) if k in meta and meta[k][1] > 0)
-                f.seek(first)
+                f.seek(_first(meta))
                 block = f.read(meta[7][1])
                 if len(block) != meta[7][1]:
                     raise ValueError("a block ends too early")
-                self.out.write(block)
-                for k in (9, 10, 11):
-                    if k in meta and meta[k][1] > 0:
-                        meta[k] = (I64, meta[k][1] - first + self.at)
-                for k in (14, 15):
-                    meta.pop(k, None)
-                for k in (4, 5, 6, 7):
-                    chunk.pop(k, None)
-                chunk[2] = (I64, 0)
-                self.at += len(block)
-            group[5] = (I64, start)
-            group.pop(7, None)
+                blocks.append(block)
+            if self.group_bytes and not has_dictionary(group):
+                self._join(group, blocks)
+            else:
+                self._flush()
+                self._write(group, [[b] for b in blocks])
             rows += group[3][1]
-        self.groups += groups
         self.rows += rows
         if footer[3][1] != rows:
             raise ValueError("the footer's row total differs from that of its blocks")
         return len(groups), rows
 
+    def _join(self, group: dict, blocks: list[bytes]) -> None:
+        """Lay the pages of ``group`` behind those that wait."""
+        metas = [c[3][1] for c in group[1][1][1]]
+        codecs = [m[4] for m in metas]
+        if self.pending is not None and [c[3][1][4] for c in self.pending[1][1][1]] != codecs:
+            self._flush()
+        if self.pending is None:
+            group.pop(4, None)  # sorted blocks in a row aren't one sorted block
+            for m in metas:
+                for k in (12, 13, 16):
+                    m.pop(k, None)
+                m[9] = (I64, m[9][1] - _first(m))
+            self.pending, self.held = group, [[b] for b in blocks]
+        else:
+            for k in (2, 3, 6):
+                if k in group and k in self.pending:
+                    self.pending[k] = (I64, self.pending[k][1] + group[k][1])
+            for chunk, m, held, block in zip(self.pending[1][1][1], metas, self.held, blocks, strict=True):
+                total = chunk[3][1]
+                for k in (5, 6, 7):
+                    total[k] = (I64, total[k][1] + m[k][1])
+                kind, known = total[2][1]
+                total[2] = (LIST, (kind, known + [e for e in m[2][1][1] if e not in known]))
+                held.append(block)
+        self.pending_bytes += sum(map(len, blocks))
+        if self.pending_bytes >= self.group_bytes:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.pending is not None:
+            for chunk in self.pending[1][1][1]:
+                chunk[3][1].pop(10, None)
+            self._write(self.pending, self.held)
+        self.pending, self.held, self.pending_bytes = None, [], 0
+
+    def _write(self, group: dict, columns: list[list[bytes]]) -> None:
+        start = self.at
+        for chunk, blocks in zip(group[1][1][1], columns, strict=True):
+            meta = chunk[3][1]
+            first = 0 if len(blocks) > 1 or group is self.pending else _first(meta)
+            for k in (9, 10, 11):
+                if k in meta and (meta[k][1] > 0 or group is self.pending):
+                    meta[k] = (I64, meta[k][1] - first + self.at)
+            for k in (14, 15):
+                meta.pop(k, None)
+            for k in (4, 5, 6, 7):
+                chunk.pop(k, None)
+            chunk[2] = (I64, 0)
+            for b in blocks:
+                self.out.write(b)
+                self.at += len(b)
+        group[5] = (I64, start)
+        group.pop(7, None)
+        self.groups.append(group)
+
     def close(self) -> None:
         """Write the joined footer."""
+        self._flush()
         self.footer[3], self.footer[4] = (I64, self.rows), (LIST, (STRUCT, self.groups))
         data = _encode(STRUCT, self.footer)
         self.out.write(data + struct.pack("<I", len(data)) + MAGIC)
+
+
+def _first(meta: dict) -> int:
+    """Where a column chunk begins: its dictionary, if it has one, else its first data page."""
+    return min(meta[k][1] for k in (9, 11) if k in meta and meta[k][1] > 0)
+
+
+def has_dictionary(group: dict) -> bool:
+    return any(11 in c[3][1] and c[3][1][11][1] > 0 for c in group[1][1][1])
+
+
+def schema_of(footer: dict) -> tuple[bytes, bytes]:
+    """What the blocks of two files must agree in to stand in one file."""
+    return _encode(*footer[2]), _encode(*footer[7]) if 7 in footer else b""
