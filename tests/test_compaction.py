@@ -97,8 +97,8 @@ def test_small_blocks_become_one():
 
 def test_tiny_files_with_dictionaries(spark, tmp_path, monkeypatch):
     data = encoded(sample(50))
-    plain = cp._without_dictionaries(data)
-    assert plain != data and pq.read_table(io.BytesIO(plain)).equals(sample(50)) and cp._without_dictionaries(plain) == plain
+    plain, _ = cp._without_dictionaries(data)
+    assert plain != data and pq.read_table(io.BytesIO(plain)).equals(sample(50)) and cp._without_dictionaries(plain)[0] == plain
     (tmp_path / "in").mkdir()
     for i in range(40):
         (tmp_path / "in" / f"{i:03d}.parquet").write_bytes(encoded(sample(5, 5 * i)))
@@ -106,11 +106,23 @@ def test_tiny_files_with_dictionaries(spark, tmp_path, monkeypatch):
     assert audit.n_blocks.sum() == 40 and audit.n_blocks_out.sum() == 1
     monkeypatch.setattr(cp, "TINY_BYTES", 0)  # blocks with dictionaries are copied as they are, a bounded number to a file
     monkeypatch.setattr(cp, "MOST_BLOCKS", 15)
-    rows = cp._merge_bin([f"file://{tmp_path}/in/{i:03d}.parquet" for i in range(40)], f"file://{tmp_path}/parts/p")
+    rows = cp._merge_bin([(f"file://{tmp_path}/in/{i:03d}.parquet", 1, None, 0) for i in range(40)], f"file://{tmp_path}/parts/p")
     assert [(r[1], r[3]) for r in rows] == [(15, 15), (15, 15), (10, 10)]
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == spark.read.parquet(f"file://{tmp_path}/parts").count() == 200
 
 
+def test_two_passes(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for i in range(90):
+        part = sample(5, 5 * i)
+        (tmp_path / "in" / f"{i:03d}.parquet").write_bytes(encoded(part if i % 9 else part.drop(["flag"]), use_dictionary=i % 2 == 0))
+    monkeypatch.setattr(cp, "TASK_FILES", 10)
+    audit = cp.compact(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").toPandas()
+    assert (audit.n_files.sum(), audit.n_blocks.sum(), audit.n_rows.sum(), len(audit), audit.n_blocks_out.sum()) == (90, 90, 450, 2, 2)
+    back = spark.read.option("mergeSchema", "true").parquet(f"file://{tmp_path}/out")
+    assert sorted(r.row_id for r in back.collect()) == list(range(450)) and back.where("flag is null").count() == 50
+
+
 def test_scattered_manifests_come_back(spark, tmp_path):
     rows = spark.createDataFrame([(i, None if i % 50 == 0 else f"m{i % 37 if i % 3 else 0}", f"t{i}") for i in range(900)], "row_id long, manifest_file string, t string")
     listed = cp.scattered(rows, f"file://{tmp_path}/tiny")

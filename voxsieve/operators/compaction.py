@@ -23,78 +23,102 @@ GROUP_BYTES = 32 << 20
 MOST_BLOCKS = 4096
 #: Files up to this size whose blocks have dictionaries are encoded anew without, so that their blocks can be joined.
 TINY_BYTES = 1 << 20
+#: Files that one task joins; where bins would have more, there is a pass before.
+TASK_FILES = 2000
 
 
 class CompactionError(RuntimeError):
     """The written files don't hold what the source files hold."""
 
 
-def _without_dictionaries(data: bytes) -> bytes:
-    """A tiny Parquet file encoded anew without dictionaries, or as it is where that would change its schema or types."""
+def _without_dictionaries(data: bytes) -> tuple[bytes, dict]:
+    """A tiny Parquet file encoded anew without dictionaries, or as it is where that would change its schema or types; and its footer."""
     import pyarrow.parquet as pq
 
     footer = read_footer(io.BytesIO(data), len(data))
     if not any(has_dictionary(g) for g in footer[4][1][1]):
-        return data
+        return data, footer
     try:
         meta = pq.ParquetFile(io.BytesIO(data)).metadata
         codec = meta.row_group(0).column(0).compression.lower()
         out = io.BytesIO()
         pq.write_table(pq.ParquetFile(io.BytesIO(data)).read(), out, use_dictionary=False, compression="none" if codec == "uncompressed" else codec, row_group_size=max(1, meta.num_rows))
     except (ValueError, OSError, NotImplementedError):
-        return data
-    return out.getvalue() if schema_of(read_footer(out, out.getbuffer().nbytes)) == schema_of(footer) else data
+        return data, footer
+    new = read_footer(out, out.getbuffer().nbytes)
+    return (out.getvalue(), new) if schema_of(new) == schema_of(footer) else (data, footer)
 
 
-def _merge_bin(sources: list[str], target: str) -> list[tuple]:
-    """Copy the blocks of ``sources`` into files under ``target``; one output per schema met and MOST_BLOCKS blocks, written aside and renamed."""
+def _merge_bin(sources: list[tuple], target: str) -> list[tuple]:
+    """Copy the blocks of ``sources`` (path, files and blocks it stands for, bytes; blocks null if not yet counted) into files under ``target``.
+
+    One output per schema met and MOST_BLOCKS blocks, written aside and renamed.
+    """
     import os
 
     from pyarrow import fs as pafs
 
     waiting, part, out = list(sources), 0, []
     while waiting:
-        left, apart, bytes_in, blocks, files = [], 0, 0, 0, 0
+        left, apart, sums = [], 0, [0, 0, 0]
         name = f"{target}-{part:03d}.parquet"
         where, path = pafs.FileSystem.from_uri(name)
         where.create_dir(posixpath.dirname(path), recursive=True)
         aside = f"{posixpath.dirname(path)}/_{posixpath.basename(path)}.{os.getpid()}-{os.urandom(4).hex()}"
         with where.open_output_stream(aside) as sink:
             writer = BlockWriter(sink, GROUP_BYTES)
-            for i, uri in enumerate(waiting):
+            for i, (uri, files, blocks, given) in enumerate(waiting):
                 if len(writer.groups) >= MOST_BLOCKS:
                     left += waiting[i:]
                     break
                 src, p = pafs.FileSystem.from_uri(uri)
                 size = src.get_file_info(p).size
                 with src.open_input_file(p) as f:
-                    data = io.BytesIO(_without_dictionaries(f.read())) if size <= TINY_BYTES else f
+                    data, footer = _without_dictionaries(f.read()) if size <= TINY_BYTES else (None, None)
                     try:
-                        n, _ = writer.append(data, size if data is f else data.getbuffer().nbytes)
+                        n, _ = writer.append(f, size) if data is None else writer.append(io.BytesIO(data), len(data), footer)
                     except IncompatibleBlocks:
-                        if not files:  # it fits nowhere, not even alone
+                        if not sums[0]:  # it fits nowhere, not even alone
                             raise
-                        left.append(uri)
+                        left.append(waiting[i])
                         apart += 1
                         continue
-                bytes_in, blocks, files = bytes_in + size, blocks + n, files + 1
+                sums = [a + b for a, b in zip(sums, (files, n if blocks is None else blocks, given), strict=True)]
             writer.close()
         where.move(aside, path)  # a repeated or speculative task replaces the file by the same bytes
-        out.append((name, files, blocks, len(writer.groups), writer.rows, bytes_in, apart))
+        out.append((name, sums[0], sums[1], len(writer.groups), writer.rows, sums[2], apart))
         waiting, part = left, part + 1
     return out
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20, listed: DataFrame | None = None) -> DataFrame:
+def _merged(listed: DataFrame, target: str, bins: int) -> DataFrame:
+    """One pass: the files of ``listed`` (``path, n_files, n_blocks, n_bytes``) dealt to ``bins`` and joined; the audit, a table on disk."""
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        have: dict[int, list[tuple]] = {}
+        for pdf in batches:
+            for k, p, files, blocks, size in zip(*(pdf[c] for c in ("bin", "path", "n_files", "n_blocks", "n_bytes")), strict=True):
+                have.setdefault(k, []).append((p, files, None if blocks < 0 else blocks, size))
+        for k, sources in have.items():
+            rows = [(k, *x) for x in _merge_bin(sorted(sources, key=lambda x: x[0]), f"{target}/part-{k:06d}")]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in AUDIT.split(", ")])
+
+    dealt = listed.withColumn("bin", F.pmod(F.xxhash64("path"), F.lit(bins)).cast("int")).repartition(min(bins, 100_000), "bin")
+    dealt.mapInPandas(merge, AUDIT).write.mode("overwrite").parquet(f"{target}/_audit")
+    return listed.sparkSession.read.parquet(f"{target}/_audit")
+
+
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20, listed: DataFrame | None = None, holds: DataFrame | None = None) -> DataFrame:
     """Join the Parquet files under ``source`` into files of about ``file_bytes`` each under ``target``.
 
     Encoded column blocks (row groups) are copied byte by byte and only footers are written anew, so no value is
     decoded. Small blocks without dictionaries become one block of up to GROUP_BYTES, their pages unchanged; only files up to TINY_BYTES with
     dictionaries, whose blocks could never be joined, are encoded anew first. Files are dealt to bins by a hash of their path; the number of bins follows from the total size. A
-    bin's task reads its files one after the other and holds one block at a time, and the footer of at most MOST_BLOCKS blocks. Files with another schema go to an output
-    of their own. ``listed`` (``path, length``) saves listing the folder. Afterwards schema, block counts and row totals are compared with what Spark reads on both sides;
-    a difference raises :class:`CompactionError`. Returns the audit, one row per written file; it is a table on disk. A source without files or rows gives an empty
-    audit, nulls and repeated rows are copied as they are.
+    bin's task reads its files one after the other and holds one block at a time, and the footer of at most MOST_BLOCKS blocks. If bins would have more than TASK_FILES files, a
+    first pass joins so many a task, and a second one their results. Files with another schema go to an output
+    of their own. ``listed`` (``path, length``) saves listing the folder. Afterwards schema, block counts and row totals are compared with what Spark reads on both sides
+    (or with ``holds``, the rows the files were written from); a difference raises :class:`CompactionError`. Returns the audit, one row per written file; it is a table on disk.
+    A source without files or rows gives an empty audit, nulls and repeated rows are copied as they are.
     """
     if listed is None:
         listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(source).select("path", "length")
@@ -102,22 +126,15 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256
     if not total["n"]:
         return spark.createDataFrame([], AUDIT)
     bins = max(1, math.ceil(total["b"] / file_bytes))
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        have: dict[int, list[str]] = {}
-        for pdf in batches:
-            for k, p in zip(pdf["bin"], pdf["path"], strict=True):
-                have.setdefault(k, []).append(p)
-        for k, paths in have.items():
-            rows = [(k, *x) for x in _merge_bin(sorted(paths), f"{target}/part-{k:06d}")]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in AUDIT.split(", ")])
-
-    dealt = listed.select("path", F.pmod(F.xxhash64("path"), F.lit(bins)).cast("int").alias("bin")).repartition(min(bins, 100_000), "bin")
-    dealt.mapInPandas(merge, AUDIT).write.mode("overwrite").parquet(f"{target}/_audit")
-    audit = spark.read.parquet(f"{target}/_audit")
+    some = listed.select("path", F.lit(1).cast("long").alias("n_files"), F.lit(-1).cast("long").alias("n_blocks"), F.col("length").alias("n_bytes"))
+    if total["n"] > bins * TASK_FILES:
+        first = _merged(some, f"{target}/_first", math.ceil(total["n"] / TASK_FILES))
+        some = first.select(F.col("out_file").alias("path"), "n_files", "n_blocks", "n_bytes")
+    audit = _merged(some, target, bins)
     wrote = audit.agg(F.sum("n_files").alias("files"), F.sum("n_rows").alias("rows"), F.max("n_apart").alias("apart")).first()
     several = str(wrote["apart"] > 0).lower()  # more than one schema: compare what the files have together
-    before, after = (spark.read.option("mergeSchema", several).parquet(p) for p in (source, target))
+    before = spark.read.option("mergeSchema", several).parquet(source) if holds is None else holds
+    after = spark.read.option("mergeSchema", several).parquet(target)
     rows = (before.count(), after.count())
     if sorted(before.dtypes) != sorted(after.dtypes) or wrote["files"] != total["n"] or {wrote["rows"], *rows} != {rows[0]}:
         raise CompactionError(f"files {total['n']} and {wrote['files']}, rows {rows[0]} and {rows[1]} (footers: {wrote['rows']})")

@@ -37,8 +37,8 @@ def p5_records(spark: SparkSession, root: str) -> DataFrame:
 def p5_files(spark: SparkSession, root: str) -> DataFrame:
     """The manifests written as the tiny files they came in, and these consolidated by copying their blocks."""
     tiny = compaction.scratch_path(spark, "tiny-files")
-    listed = compaction.scattered(table(spark, root, "sep_audio_cache_manifest"), tiny)
-    audit = compaction.compact(spark, tiny, compaction.scratch_path(spark, "compacted"), listed=listed)
+    rows = table(spark, root, "sep_audio_cache_manifest")
+    audit = compaction.compact(spark, tiny, compaction.scratch_path(spark, "compacted"), listed=compaction.scattered(rows, tiny), holds=rows)
     return audit.agg(F.sum("n_files").alias("files_in"), F.count(F.lit(1)).alias("files_out"), F.sum("n_blocks").alias("blocks_in"), F.sum("n_rows").alias("n_rows"))
 
 

@@ -129,9 +129,9 @@ class BlockWriter:
         self.group_bytes, self.pending, self.held, self.pending_bytes = group_bytes, None, [], 0
         out.write(MAGIC)
 
-    def append(self, f: BinaryIO, size: int) -> tuple[int, int]:
-        """Copy all blocks of the open file ``f``; (blocks, rows) copied. Raises IncompatibleBlocks before anything is written."""
-        footer = read_footer(f, size)
+    def append(self, f: BinaryIO, size: int, footer: dict | None = None) -> tuple[int, int]:
+        """Copy all blocks of the open file ``f``; (blocks, rows) copied. Raises IncompatibleBlocks before anything is written. A ``footer`` read before is used up."""
+        footer = read_footer(f, size) if footer is None else footer
         schema = schema_of(footer)
         if self.footer is None:
             self.footer, self.schema = {k: v for k, v in footer.items() if k not in (4, 8, 9)}, schema
