@@ -185,8 +185,8 @@ def test_audio_features(spark, tmp_path):
         (arm / f"{name}.wav").write_bytes(data)
     (arm / "u_2_spk1.wav").write_bytes(b"junk")
     (arm.parent / "index.jsonl").write_text('{"uid": "u_1"}\n\n{"uid": "u_2"}\n')
-    (tmp_path / "pos" / "logs").mkdir()
-    (tmp_path / "pos" / "logs" / "index.jsonl").write_text('{"uid": "no"}\n')
+    (tmp_path / "pos" / "best_sep").mkdir()
+    (tmp_path / "pos" / "best_sep" / "index.jsonl").write_text('{"uid": "no"}\n')
     assert [(r.arm, r.split) for r in audio.read_arms(spark, str(tmp_path), "pos").collect()] == [("s1", "pos")] * 2
     rec = audio.recordings(spark, str(tmp_path), content=True)
     assert sorted((r.uid, r.stream, r.path.rpartition("_")[2]) for r in rec.collect()) == [("u_1", "original", "peak.wav"), ("u_1", "spk1", "spk1.wav"), ("u_2", "spk1", "spk1.wav")]

@@ -11,6 +11,9 @@ from voxsieve.functions.lineage import json_digest
 from voxsieve.functions.scalars import finite, sigmoid
 
 
+SCHEMA = "score_calibration/v1"
+
+
 @dataclass(frozen=True)
 class Model:
     mean: float
@@ -79,18 +82,31 @@ def calibrated(score: Column, lang: Column, models: dict[str, Model]) -> Column:
     return out
 
 
-def to_document(models: dict[str, Model], source_digest: str, counts: dict[str, dict[str, int]] | None = None) -> dict:
-    """The models as a JSON document that carries the digest of its own content."""
-    body = {"source_sha256": source_digest, "models": {k: asdict(m) for k, m in sorted(models.items())}, "counts": counts or {}}
+# Languages a calibration may be for, and the directions of a score.
+CALIBRATED = ("zh", "en", "global")
+DIRECTIONS = ("higher_is_better", "lower_is_better")
+
+
+def to_document(models: dict[str, Model], source_digest: str, counts: dict[str, dict[str, int]] | None = None, score_direction: str = "higher_is_better") -> dict:
+    """The models as a JSON document that carries the digest of its own content. ``counts``: per language the examples ``n, n_positive, n_negative``."""
+    body = {"schema": SCHEMA, "score_direction": score_direction, "independent_dev_required": True, "source_sha256": source_digest, "models": {k: asdict(m) for k, m in sorted(models.items())}, "counts": counts or {}}
     return body | {"calibrator_hash": json_digest(body)}
 
 
 def from_document(document: dict) -> dict[str, Model]:
-    """The models of :func:`to_document`; raises CalibrationError if the content was changed or a scale isn't positive."""
+    """The models of :func:`to_document`.
+
+    Raises CalibrationError if the content was changed, isn't of this kind, isn't bound to an independent set of labelled examples, names another language, or
+    has a scale that isn't positive or a class without examples.
+    """
     body = {k: v for k, v in document.items() if k != "calibrator_hash"}
+    if body.get("schema") != SCHEMA or body.get("independent_dev_required") is not True or not body.get("source_sha256") or body.get("score_direction") not in DIRECTIONS:
+        raise CalibrationError("no calibration bound to labelled examples")
     if json_digest(body) != document.get("calibrator_hash"):
         raise CalibrationError("the document was changed after it was written")
     models = {k: Model(**m) for k, m in body["models"].items()}
     if not models or any(m.scale <= 0 for m in models.values()):
         raise CalibrationError("no models, or a scale that isn't positive")
+    if any(k not in CALIBRATED for k in models) or any(min(c["n_positive"], c["n_negative"]) <= 0 for c in body["counts"].values()):
+        raise CalibrationError("a language that can't be calibrated, or a class without examples")
     return models

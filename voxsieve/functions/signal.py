@@ -57,8 +57,11 @@ def pcm_digest(x: np.ndarray, rate: int) -> str:
 QUALITY = "duration_sec rms_dbfs peak clip_rate dc_offset zero_ratio speech_ratio silence_ratio longest_speech_sec snr_vad_db spectral_flatness spectral_flux band_energy_low band_energy_mid band_energy_high".split()
 
 
-def quality(x: np.ndarray, rate: int) -> dict[str, float | bool | None]:
-    """Level, frame-energy and spectral features of one recording; an empty or non-finite one is ``fatal_invalid`` with nulls."""
+def quality(x: np.ndarray, rate: int, spectral_sec: float | None = None) -> dict[str, float | bool | None]:
+    """Level, frame-energy and spectral features of one recording; an empty or non-finite one is ``fatal_invalid`` with nulls.
+
+    Flatness and bands are those of the whole recording, or of its first ``spectral_sec`` seconds (10 give the values of older runs).
+    """
     y = np.asarray(x, np.float32).ravel()
     if not y.size or not np.isfinite(y).all():
         return dict.fromkeys(QUALITY) | {"duration_sec": 0.0, "snr_valid": False, "fatal_invalid": True}
@@ -79,7 +82,7 @@ def quality(x: np.ndarray, rate: int) -> dict[str, float | bool | None]:
         spectra = np.abs(np.fft.rfft(frames * np.hanning(frame).astype(np.float32), axis=1))
         flux = np.abs(np.diff(spectra, axis=0)).mean(axis=1).mean() if len(frames) > 1 else 0.0
     out |= {"speech_ratio": share, "silence_ratio": 1 - share, "longest_speech_sec": run * frame / rate, "snr_vad_db": snr, "snr_valid": snr is not None, "spectral_flux": flux}
-    n = min(len(y), 10 * max(rate, 1))
+    n = len(y) if spectral_sec is None else min(len(y), round(spectral_sec * max(rate, 1)))
     p = np.square(np.abs(np.fft.rfft(y[:n] * np.hanning(n)))) + tiny if n > 1 else np.array([tiny])
     hz = np.fft.rfftfreq(n, 1 / max(rate, 1)) if n > 1 else np.zeros(1)
     out["spectral_flatness"] = np.exp(np.mean(np.log(p))) / p.mean()
@@ -89,22 +92,29 @@ def quality(x: np.ndarray, rate: int) -> dict[str, float | bool | None]:
 
 
 def denoised(x: np.ndarray, rate: int, size: int = 512, hop: int = 128, floor: float = 0.05, over: float = 1.2) -> np.ndarray:
-    """Spectral subtraction: the noise spectrum is that of the first quarter second."""
+    """Spectral subtraction of powers: the noise spectrum is the mean of the first quarter second, ``floor`` the least share of a bin's power that stays.
+
+    The recording is padded by half a window at both ends and the result clipped to -1..1; one shorter than a twentieth of a second (or 16 samples) is left as it is.
+    Samples behind the last whole window are those of its fading end.
+    """
     x = np.asarray(x, np.float32).ravel()
-    if len(x) < size:
+    if len(x) < max(16, rate // 20):
         return x.copy()
-    window = np.hanning(size).astype(np.float32)
-    starts = np.arange(0, len(x) - size + 1, hop)
-    spectra = np.fft.rfft(x[starts[:, None] + np.arange(size)] * window, axis=1)
-    size_of = np.abs(spectra)
-    noise = size_of[: max(1, int(0.25 * rate / hop))].mean(axis=0)
-    gain = np.maximum(floor, 1 - over * noise / (size_of + 1e-8))
+    window, tiny = np.hanning(size).astype(np.float32), 1e-10
+    padded = np.pad(x, size // 2)
+    starts = np.arange(0, max(1, len(padded) - size + 1), hop)
+    padded = np.pad(padded, (0, max(0, int(starts[-1]) + size - len(padded))))
+    spectra = np.fft.rfft(padded[starts[:, None] + np.arange(size)] * window, axis=1)
+    power = np.abs(spectra) ** 2
+    noise = power[: max(1, min(len(starts), round(0.25 * rate / hop)))].mean(axis=0)
+    gain = np.sqrt(np.maximum(power - over * noise, floor * power + tiny) / (power + tiny))
     frames = np.fft.irfft(spectra * gain, n=size, axis=1) * window
-    out, weight = np.zeros(len(x)), np.zeros(len(x))
+    out, weight = np.zeros(len(padded)), np.zeros(len(padded))
     for s, f in zip(starts, frames, strict=True):
         out[s : s + size] += f
         weight[s : s + size] += window**2
-    return np.where(weight > 1e-8, out / np.maximum(weight, 1e-8), x).astype(np.float32)
+    inner = slice(size // 2, size // 2 + len(x))
+    return np.clip(out[inner] / np.maximum(weight[inner], 1e-6), -1, 1).astype(np.float32)
 
 
 def faded(x: np.ndarray, rate: int, milliseconds: float) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import string
 import unicodedata
 
@@ -9,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxsieve.functions.lineage import json_digest
+
 # Punctuation that never counts.
 PUNCTUATION = string.punctuation + "，。！？、；：‘’“”「」『』（）【】《》…·—–"
 # Phrases that count as one another.
@@ -51,6 +54,37 @@ def single_spaced(normal: Column) -> Column:
     return F.trim(F.regexp_replace(normal, r"(?U)[\s\x1C-\x1F]+", " "))
 
 
+def plain_phrase(text: str) -> str:
+    """:func:`single_spaced` of :func:`normal_text` for one Python string."""
+    return " ".join(unicodedata.normalize("NFKC", text or "").lower().translate({ord(c): None for c in PUNCTUATION}).split())
+
+
+def alias_table(path: str | None = None, defaults: bool = True) -> dict[str, list[str]]:
+    """Phrase to the phrases that count as it, normalised, each once and in order: the ALIASES, then those of a JSON file of phrase to phrase or list.
+
+    A file's entry also counts as its own alias. Raises ValueError for a file of another shape.
+    """
+    out = {plain_phrase(k): list(dict.fromkeys(map(plain_phrase, v))) for k, v in ALIASES.items()} if defaults else {}
+    if path is None:
+        return out
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    if not isinstance(given, dict):
+        raise ValueError("an alias table is a JSON object of phrase to list")
+    for k, v in given.items():
+        listed = [v] if isinstance(v, str) else v
+        if not isinstance(listed, list) or not all(isinstance(x, str) for x in listed):
+            raise ValueError(f"the aliases of {k!r} must be strings")
+        name = plain_phrase(k)
+        out[name] = list(dict.fromkeys([*out.get(name, []), name, *map(plain_phrase, listed)]))
+    return out
+
+
+def alias_digest(aliases: dict[str, list[str]]) -> str:
+    """SHA-256 of an alias table as compact JSON with sorted keys."""
+    return json_digest(aliases)
+
+
 def has_cjk(text: Column) -> Column:
     return F.coalesce(text.rlike(CJK), F.lit(False))
 
@@ -106,8 +140,10 @@ def text_errors(pairs: DataFrame, hyp: str, ref: str, aliases: dict[str, list[st
 
     Adds ``cer_route, cer_char, metric, alias_hit, cer_alias, wake_coverage, extra_ratio, core_hit``. Chinese references
     are compared by syllables, others with the best of their aliases (fewest edits per character, then shorter, then first in order).
-    Nulls count as empty texts. Each different pair is worked out once.
+    Nulls count as empty texts. Each different pair is worked out once; the result is looked up by the pair's digest, pairs that very many rows have are salted.
     """
+    from voxsieve.operators.skew import heavy_keys, salted_left_join
+
     spark = pairs.sparkSession
     distinct = pairs.select(F.coalesce(hyp, F.lit("")).alias("_hyp"), F.coalesce(ref, F.lit("")).alias("_ref")).distinct()
     d = distinct.withColumns({"_hn": normal_text(F.col("_hyp")), "_rn": normal_text(F.col("_ref")), "_hc": normal_chars(F.col("_hyp")), "_rc": normal_chars(F.col("_ref"))})
@@ -145,6 +181,8 @@ def text_errors(pairs: DataFrame, hyp: str, ref: str, aliases: dict[str, list[st
         }
     )
     added = ["cer_route", "cer_char", "metric", "alias_hit", "cer_alias", "wake_coverage", "extra_ratio", "core_hit"]
+    digest = lambda a, b: F.sha2(F.concat(F.length(a).cast("string"), F.lit(":"), a, b), 256)
     clean = pairs.drop(*[c for c in added if c in pairs.columns])
-    same = (F.coalesce(clean[hyp], F.lit("")) == F.col("_hyp")) & (F.coalesce(clean[ref], F.lit("")) == F.col("_ref"))
-    return clean.join(d.select("_hyp", "_ref", *added), same, "left").drop("_hyp", "_ref")
+    clean = clean.withColumns({"_pair": digest(F.coalesce(hyp, F.lit("")), F.coalesce(ref, F.lit(""))), "_spread": F.xxhash64(*[c for c in clean.columns if "map<" not in dict(clean.dtypes)[c]])})
+    known = d.select(digest(F.col("_hyp"), F.col("_ref")).alias("_pair"), *added)
+    return salted_left_join(clean, known, "_pair", "_spread", heavy_keys(clean, F.col("_pair"))).drop("_pair", "_spread")

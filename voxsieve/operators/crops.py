@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxsieve.functions.lineage import json_digest
 from voxsieve.functions.scalars import finite, spaced_content_hash
 
 # Seconds kept before and after an occurrence, by name of the cut.
@@ -56,6 +57,17 @@ def alignment_key(aligner: Column, model: Column, runtime: Column, aliases: Colu
     return spaced_content_hash(pcm_sha256=F.col("pcm_sha256"), wake_text=F.col("wake_text"), lang=F.col("lang"), alias_set_hash=aliases, text_normalizer_hash=normaliser, aligner=aligner, model_hash=model, runtime_hash=runtime)
 
 
+def crop_policy_digest(policy: dict) -> str:
+    """SHA-256 of a cutting policy as compact JSON with sorted keys."""
+    return json_digest(policy)
+
+
+def crop_key(alignment: Column, policy_digest: Column, sample_rate: Column, fade_ms: float = 0) -> Column:
+    """Digest that names a cut, for rows with ``start_sample, end_sample``."""
+    whole = lambda c: c.cast("bigint")
+    return spaced_content_hash(alignment_key=alignment, crop_policy_hash=policy_digest, start_sample=whole(F.col("start_sample")), end_sample=whole(F.col("end_sample")), sample_rate=whole(sample_rate), fade_ms=F.lit(fade_ms))
+
+
 def cut_samples(samples: Column, start: Column, end: Column) -> Column:
     """The samples of a cut from an ``array<float>``."""
     return F.slice(samples, start.cast("int") + 1, (end - start).cast("int"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxsieve.functions.scalars import content_hash
+from voxsieve.functions.scalars import content_hash, cosine
 from voxsieve.operators.skew import heavy_keys, salted_left_join
 
 #: Fields in which two rows of one key must not differ.
@@ -76,10 +76,61 @@ def with_evidence(candidates: DataFrame, sidecar: DataFrame, fields: list[str],
     """All candidates with ``prio`` and the evidence columns ``ev_*``; null without a match."""
     m = matched(candidates, sidecar, path)
     payload = sidecar.select(F.col("row_id").alias("evidence_row"), *[F.col(f).alias(f"ev_{f}") for f in fields])
-    found = m.join(payload, "evidence_row")
+    found = salted_left_join(m, payload, "evidence_row", "row_id", heavy_keys(m, F.col("evidence_row")))  # one row may serve very many candidates
     return candidates.join(found, "row_id", "left")
 
 
+def matched_by(probe: DataFrame, evidence: DataFrame, kinds: list[tuple[str, Column, bool]]) -> DataFrame:
+    """``row_id, prio, evidence_row``: for each probe row with any match, its evidence by the first of ``kinds`` that is found.
+
+    A kind is (name, key as an expression over either table, whether the last row with a key counts instead of the first). Kinds of the same name
+    share their keys. Rows whose key is null have none of that kind.
+    """
+    options = F.array_compact(F.array(*[F.when(k.isNotNull(), F.struct(F.lit(i).alias("prio"), F.concat(F.lit(f"{name}:"), k).alias("key"), F.lit(last).alias("last"))) for i, (name, k, last) in enumerate(kinds)]))
+    asked, known = (d.select("row_id", F.explode(options).alias("k")).select("row_id", "k.*") for d in (probe, evidence))
+    known = known.groupBy("key").agg(F.min("row_id").alias("_first"), F.max("row_id").alias("_last"), F.max("last").alias("_is_last"))
+    known = known.select("key", F.when(F.col("_is_last"), F.col("_last")).otherwise(F.col("_first")).alias("evidence_row"))
+    hits = salted_left_join(asked, known, "key", "row_id", heavy_keys(asked, F.col("key"))).where("evidence_row is not null")
+    return hits.groupBy("row_id").agg(F.min(F.struct("prio", "evidence_row")).alias("m")).select("row_id", "m.prio", "m.evidence_row")
+
+
+def aligned(candidates: DataFrame, alignments: DataFrame, key: Column) -> DataFrame:
+    """The alignment of each candidate by alignment ``key`` (the last row counts), score key, or audio, phrase and language together, null for null (the first)."""
+    shown = lambda f: F.coalesce(F.col(f), F.lit("None"))
+    content = F.concat_ws("|", shown("pcm_sha256"), shown("wake_text"), shown("lang"))
+    return matched_by(candidates, alignments, [("alignment", filled(key), True), ("score", filled(F.col("score_key")), False), ("pcm", content, False)])
+
+
+def crop_evidence(crops: DataFrame, evidence: DataFrame) -> DataFrame:
+    """The evidence row of each cut by its score key, candidate id or crop key, in that order; the last row that brings a key under any of them counts."""
+    there = [f for f in ("score_key", "candidate_id", "crop_key") if f in crops.columns and f in evidence.columns]
+    return matched_by(crops, evidence, [("key", filled(F.col(f)), True) for f in there])
+
+
+# What a noise model's record may replace in the quality of a recording.
+NOISE_FIELDS = "p_music p_overlap noise_class music_class speaker_count dnsmos_sig dnsmos_bak dnsmos_ovrl srmr drr t60 music_top_k instrument_top_k singing_top_k".split()
+
+
+def with_noise_fields(quality: DataFrame, noise: DataFrame, key: str) -> DataFrame:
+    """``quality`` with the NOISE_FIELDS of ``noise`` (one row per ``key``) laid over it where there is a record, nulls included; other fields stay."""
+    laid = [f for f in NOISE_FIELDS if f in noise.columns]
+    met = salted_left_join(quality, noise.select(key, F.lit(True).alias("_there"), *[F.col(f).alias(f"_n_{f}") for f in laid]), key, key, [])
+    old = lambda f: F.col(f) if f in quality.columns else F.lit(None)
+    return met.withColumns({f: F.when(F.col("_there"), F.col(f"_n_{f}")).otherwise(old(f)) for f in laid}).drop("_there", *[f"_n_{f}" for f in laid])
+
+
+def rebound(refs: DataFrame, stored: DataFrame) -> DataFrame:
+    """``refs`` that point to stored copies: where the audio (``pcm_sha256``, case doesn't count) is stored, ``source_wav`` is the copy and ``origin_wav`` the old place.
+
+    ``stored`` has ``pcm_sha256, file_sha256, stored_path``; of several copies the first in name order counts. Others keep their source, with null ``origin_wav``.
+    """
+    known = stored.where(filled(F.col("pcm_sha256")).isNotNull() & F.col("stored_path").isNotNull()).groupBy(F.lower("pcm_sha256").alias("_pcm")).agg(F.min(F.struct("stored_path", "file_sha256")).alias("_at"))
+    keyed = refs.withColumn("_pcm", F.lower(filled(F.col("pcm_sha256"))))
+    met = salted_left_join(keyed, known, "_pcm", "candidate_id", heavy_keys(keyed, F.col("_pcm")))
+    there = F.col("_at").isNotNull()
+    return met.withColumns({"origin_wav": F.when(there, F.col("source_wav")), "source_wav": F.coalesce("_at.stored_path", "source_wav"), "file_sha256": F.col("_at.file_sha256"), "audio_cache_kind": F.when(there, "sep_pcm")}).drop("_pcm", "_at")
+
+
 def binding_violations(joined: DataFrame) -> DataFrame:
     """Matches whose evidence names another audio, phrase or language, where both sides have one."""
     differ = lambda f: F.coalesce(filled(F.col(f)) != filled(F.col(f"ev_{f}")), F.lit(False))
@@ -113,6 +164,26 @@ def probability_contract(candidates: DataFrame, sidecar: DataFrame, accepted: st
     return keys.join(first, "score_key", "left").select("score_key", F.coalesce(fault, F.lit("ok")).alias("state"))
 
 
+def with_parents(c: DataFrame) -> DataFrame:
+    """``c`` with what it gains on its raw parent: ``delta_cer, cos_se_raw, raw_parent_pcm_sha256, gain_ref``.
+
+    All four are null without a parent or where one of both error rates is missing. ``cos_se_raw`` is the cosine of the columns ``embedding``, ``gain_ref`` the
+    difference of ``speaker_ref_score``; a table without such a column has nulls. Parents that very many refer to are salted. ``gain_ref`` feeds the speaker gain of the selection.
+    """
+    fields = [f for f in ("cer_route", "pcm_sha256", "embedding", "speaker_ref_score") if f in c.columns]
+    parents = c.select(F.col("candidate_id").alias("_parent"), *[F.col(f).alias(f"_p_{f}") for f in fields])
+    mine = c.withColumn("_parent", filled(F.col("raw_parent_candidate_id")))
+    joined = salted_left_join(mine, parents, "_parent", "candidate_id", heavy_keys(mine, F.col("_parent")))
+    both = F.col("cer_route").isNotNull() & F.col("_p_cer_route").isNotNull()
+    made = {
+        "delta_cer": F.col("cer_route") - F.col("_p_cer_route"),
+        "raw_parent_pcm_sha256": F.col("_p_pcm_sha256"),
+        "cos_se_raw": cosine(F.col("embedding"), F.col("_p_embedding")) if "embedding" in fields else F.lit(None).cast("double"),
+        "gain_ref": F.col("speaker_ref_score") - F.col("_p_speaker_ref_score") if "speaker_ref_score" in fields else F.lit(None).cast("double"),
+    }
+    return joined.withColumns({n: F.when(both, x) for n, x in made.items()}).drop("_parent", *[f"_p_{f}" for f in fields])
+
+
 def parent_deltas(c: DataFrame) -> DataFrame:
     """Enhanced candidates with the change of error and likelihood against their raw parent; null without a parent."""
     parents = c.select(F.col("candidate_id").alias("parent_id"), F.col("cer_route").alias("p_cer"), F.col("nll").alias("p_nll"))
@@ -136,7 +207,7 @@ def companions(selected: DataFrame, c: DataFrame) -> DataFrame:
     """
     enhanced = c.where((F.col("view") == "moss48k") & F.col("source_wav").isNotNull())
     parents = c.select(F.col("candidate_id").alias("raw_parent_candidate_id"), F.col("pcm_sha256").alias("parent_pcm"))
-    enhanced = enhanced.join(parents, "raw_parent_candidate_id", "left")
+    enhanced = salted_left_join(enhanced, parents, "raw_parent_candidate_id", "candidate_id", heavy_keys(enhanced, F.col("raw_parent_candidate_id")))
     own = selected.where(F.col("view") == "raw").select(F.col("candidate_id").alias("selected_id"), "group_key", F.col("pcm_sha256").alias("selected_pcm"))
     by_id = own.join(enhanced, (own.selected_id == enhanced.raw_parent_candidate_id) & (own.group_key == enhanced.group_key))
     by_pcm = own.join(enhanced, (own.selected_pcm == enhanced.parent_pcm) & (own.group_key == enhanced.group_key) & (own.selected_pcm != ""))

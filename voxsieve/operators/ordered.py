@@ -6,9 +6,13 @@ inside a block, and a table with one row per block carries what goes over a bloc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxsieve.session import settled
+
 #: Buckets of the hash order used by :func:`running_total`; the per-group edge table has at most so many rows.
 HASH_BUCKETS = 1 << 16
 
@@ -16,27 +20,27 @@ HASH_BUCKETS = 1 << 16
 def numbered(df: DataFrame, keys: list[str], by_time: str, ties: list[str], out: str, rows_per_block: int = 100_000) -> DataFrame:
     """Add ``out``: 1, 2, ... within ``keys`` in the order ``by_time, *ties``.
 
-    Groups above ``rows_per_block`` are cut into equal spans of ``by_time`` (a timestamp or number), numbered span by span
-    and shifted by the number of rows in earlier spans. Null times come first; null keys form a group. Rows that
-    agree in all order columns get their numbers in an arbitrary order. An empty table stays empty.
+    Groups above ``rows_per_block`` are range-partitioned on the whole order and written with their partition; a row's number is its place there plus the
+    rows of the group's earlier partitions, so bunched or equal times are spread by ``ties``. Other groups are numbered by a window. Null times come first; null keys form a group. Rows that
+    agree in all order columns get their numbers in an arbitrary order, and only they can't be spread. An empty table stays empty.
     """
-    timed = df.schema[by_time].dataType.typeName().startswith("timestamp")
-    micros = F.unix_micros(F.col(by_time).cast("timestamp")) if timed else F.col(by_time).cast("double")
-    same = lambda p, *more: [F.col(k).eqNullSafe(F.col(p + k)) for k in keys] + list(more)
-    named = lambda d, p, *more: d.select(*[F.col(k).alias(p + k) for k in keys], *more)
-    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi")).where(F.col("_n") > rows_per_block)
-    cut = df.join(named(big, "_g_", "_n", "_lo", "_hi"), same("_g_"), "left")
-    parts = F.ceil(F.col("_n") / F.lit(rows_per_block)).cast("double")
-    gap = (F.col("_hi") - F.col("_lo")).cast("double")
-    span = F.when(gap > 0, gap).otherwise(F.lit(1.0))
-    block = F.coalesce(F.floor((micros - F.col("_lo")).cast("double") / span * (parts - 1)), F.lit(-1)).cast("long")
-    cut = cut.withColumn("_blk", F.when(F.col("_n").isNotNull(), block).otherwise(F.lit(0)))
-    inside = Window.partitionBy(*keys, "_blk").orderBy(F.col(by_time).asc_nulls_first(), *ties)
-    cut = cut.withColumn("_rn", F.row_number().over(inside))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    edge = cut.where("_n is not null").groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_c")).withColumn("_before", F.sum("_c").over(before))
-    joined = cut.join(named(edge, "_e_", F.col("_blk").alias("_e_blk"), "_before"), same("_e_", F.col("_blk") == F.col("_e_blk")), "left")
-    return joined.withColumn(out, F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).select(*df.columns, out)
+    order = [F.col(by_time).asc_nulls_first(), *ties]
+    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_n")
+    sizes = settled(big, "big-groups").agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    if not sizes["groups"]:
+        return df.withColumn(out, F.row_number().over(inside))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    usual = df.join(big, same, "left_anti").withColumn(out, F.row_number().over(inside))
+    # a range partition never holds much more than a block, however large its group; the number of parts follows from the rows
+    parts = int(min(100_000, sizes["rows"] // rows_per_block + sizes["groups"]))
+    ranged = settled(df.join(big, same, "left_semi").repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(earlier), F.lit(0))).select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("_part").alias("_g_part"), "_before")
+    placed = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)))
+    joined = placed.join(counts, same & (F.col("_part") == F.col("_g_part")))
+    return usual.unionByName(joined.withColumn(out, (F.col("_before") + F.col("_rn")).cast("int")).select(*df.columns, out))
 
 
 def running_total(df: DataFrame, keys: list[str], hash_col: str, ties: list[str], value: str, out: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxsieve.functions.scalars import natural_key, slug
 from voxsieve.operators.selection import TIE, stream_order
+from voxsieve.operators.skew import heavy_keys, salted_left_join
 from voxsieve.session import settled
 
 
@@ -51,14 +52,16 @@ def uid_digest() -> Column:
 def file_names(order: Column, slot: Column, marker: Column) -> Column:
     """The name under which a listing keeps a candidate's audio."""
     digest = F.substring(F.coalesce("pcm_sha256", F.lit("undec")), 1, 8)
-    parts = [F.lpad(order.cast("string"), 6, "0"), uid_digest(), F.lpad(slot.cast("string"), 4, "0"), marker, F.col("role"), F.col("view"), slug(F.col("stream"), 24), F.concat(F.lit("P-"), digest)]
+    padded = lambda n, width: F.lpad(n.cast("string"), F.greatest(F.lit(width), F.length(n.cast("string"))), F.lit("0"))
+    parts = [padded(order, 6), uid_digest(), padded(slot, 4), marker, F.col("role"), F.col("view"), slug(F.col("stream"), 24), F.concat(F.lit("P-"), digest)]
     return F.array_join(F.array(*parts), "__", "none")
 
 
-def loss_reasons(c: DataFrame, selected: DataFrame) -> DataFrame:
-    """``candidate_id, loss_reason`` of every candidate that its group's selected one beat."""
+def loss_reasons(c: DataFrame, selected: DataFrame, hot: list | None = None) -> DataFrame:
+    """``candidate_id, loss_reason`` of every candidate that its group's selected one beat; large groups are salted."""
+    hot = heavy_keys(c, F.col("group_key")) if hot is None else hot
     s = selected.select("group_key", *[F.col(x).alias(f"s_{x}") for x in ("candidate_id", "view", "pcm_sha256", "cer_route", "q_kw", "qkw_calibrated")])
-    both = c.join(s, "group_key").where(F.col("candidate_id") != F.col("s_candidate_id"))
+    both = salted_left_join(c, s, "group_key", "candidate_id", hot).where(F.col("candidate_id") != F.col("s_candidate_id"))
     gap = F.col("cer_route") - F.col("s_cer_route")
     reason = (
         F.when(F.coalesce(F.col("validity"), F.lit("")) != "rankable", F.coalesce("validity", F.lit("fatal_invalid")))
@@ -77,9 +80,9 @@ def set_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     The digests of the distinct rows are added up and combined by exclusive or, so partial results merge and nothing is collected.
     """
     d = df.select(F.sha2(F.concat_ws("\0", *[F.coalesce(F.col(c).cast("string"), F.lit("\1")) for c in columns]), 256).alias("h")).distinct()
-    low = F.conv(F.substring("h", 1, 12), 16, 10).cast("bigint")
+    low = F.conv(F.substring("h", 1, 12), 16, 10).cast("decimal(20,0)")
     high = F.conv(F.substring("h", 13, 15), 16, 10).cast("bigint")
-    sums = d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(low), F.lit(0)).alias("s"), F.coalesce(F.bit_xor(high), F.lit(0)).alias("x"))
+    sums = d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(low), F.lit(0)).cast("decimal(38,0)").alias("s"), F.coalesce(F.bit_xor(high), F.lit(0)).alias("x"))
     return sums.select("n", F.sha2(F.concat_ws(":", "n", "s", "x"), 256).alias("fingerprint"))
 
 

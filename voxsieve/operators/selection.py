@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxsieve.functions.scalars import finite
 from voxsieve.operators.ranks import TIE, clustered_ranks
+from voxsieve.operators.ordered import numbered
 from voxsieve.operators.skew import heavy_keys
 from voxsieve.policy import STREAM_SLOTS, Policy
 from voxsieve.session import settled
@@ -221,9 +222,8 @@ def view_reason(p: Policy) -> Column:
 
 
 def error_ranks(c: DataFrame) -> DataFrame:
-    """``cer_rank``: 1, 2, ... of rankable candidates by (error rate, id) within group and role."""
-    w = Window.partitionBy("group_key", "role").orderBy("cer_route", "candidate_id")
-    return rankable(c).withColumn("cer_rank", F.row_number().over(w))
+    """``cer_rank``: 1, 2, ... of rankable candidates by (error rate, id) within group and role; groups of any size."""
+    return numbered(rankable(c), ["group_key", "role"], "cer_route", ["candidate_id"], "cer_rank")
 
 
 def stage_ranks(c: DataFrame, p: Policy, most: int | None = None, hot: list | None = None) -> DataFrame:

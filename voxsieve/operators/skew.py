@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def heavy_keys(df: DataFrame, key: Column, share: float = 1 / 256, min_rows: int = 200_000, tracked: int = 8192) -> list:
+def heavy_keys(df: DataFrame, key: Column, share: float = 1 / 2048, min_rows: int = 200_000, tracked: int = 16_384) -> list:
     """Keys that hold at least ``share`` of the non-null rows and at least ``min_rows`` rows.
 
     A frequent-items sketch finds them in one scan without a shuffle of the keys, so the list has at most
     ``1 / share`` entries whatever the input. It only steers salting: a key that the sketch over- or
-    underestimates changes the balance of the work, never a result. Empty input gives an empty list.
+    underestimates changes the balance of the work, never a result. Keys below ``share`` that still exceed a partition's size are left to the
+    adaptive execution, which splits them in sort-merge joins. Empty input gives an empty list.
     """
     k = int(1 / share)
     row = df.where(key.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k", key, F.lit(k), F.lit(tracked)).alias("top")).first()

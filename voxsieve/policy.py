@@ -13,7 +13,9 @@ STREAM_SLOTS = {"original": 0, "spk1": 1, "spk2": 2, "spk3": 3, "spk4": 4}
 
 @dataclass(frozen=True)
 class Policy:
-    """``cer_close_delta`` opens a window of near-equal error; ``prefer_enhanced`` lets enhanced views win ties inside it."""
+    """``cer_close_delta`` opens a window of near-equal error; ``prefer_se_on_close_cer`` lets enhanced views win ties inside it."""
+
+    # Names and defaults of the thresholds.
 
     qkw_low_thr: float | None = None
     qkw_switch_margin: float = 0.01

@@ -14,18 +14,31 @@ from pyspark.sql import functions as F
 from voxsieve.functions.signal import decode_wav, pcm_digest
 
 # Folders beside the arms that hold no arm.
-NO_ARMS = ["tmp", "logs", "cache", "reports"]
+NO_ARMS = ["meta", "reports", "best_sep", "packs", "review_flat"]
 
 
 def read_arms(spark: SparkSession, root: str, split: str) -> DataFrame:
     """Lines of ``{root}/{split}/{stage}/index.jsonl`` and ``.../{stage}/thr_*/index.jsonl`` with ``split``, ``arm`` (stage or stage/thr) and ``body``.
 
-    Hidden folders and those of NO_ARMS are passed over.
+    Hidden folders and those of NO_ARMS are passed over. Raises ValueError if the split has no arm.
     """
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "index.jsonl").text(f"{root}/{split}")
     arm = F.regexp_extract(F.col("_metadata.file_path"), rf"/{split}/([^/]+(?:/thr_[^/]+)?)/index\.jsonl$", 1)
     d = lines.select(F.lit(split).alias("split"), arm.alias("arm"), F.col("value").alias("body")).where("arm <> '' and trim(body) <> ''")
-    return d.where(~F.col("arm").startswith(".") & ~F.split("arm", "/")[0].isin(NO_ARMS))
+    found = d.where(~F.col("arm").startswith(".") & ~F.split("arm", "/")[0].isin(NO_ARMS))
+    if not found.take(1):
+        raise ValueError(f"no index.jsonl below {root}/{split}")
+    return found
+
+
+def made_before(spark: SparkSession, root: str) -> DataFrame:
+    """``pcm_sha256, path`` of recordings whose name is a digest of at least 32 hexadecimal digits, wherever they lie below ``root``; of several the first in name order.
+
+    File contents aren't read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(root).select("path")
+    stem = F.lower(F.regexp_extract("path", r"([^/]+)\.wav$", 1))
+    return files.select(stem.alias("pcm_sha256"), "path").where(F.col("pcm_sha256").rlike("^[0-9a-f]{32,}$")).groupBy("pcm_sha256").agg(F.min("path").alias("path"))
 
 
 def recordings(spark: SparkSession, root: str, content: bool = False) -> DataFrame:

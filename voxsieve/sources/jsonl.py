@@ -1,4 +1,4 @@
-"""JSON lines: strict reading with file and line in the error, sorted-key writing, decoder transcripts, one-document files."""
+"""JSON lines: strict reading with file and text in the error, sorted-key writing, decoder transcripts, one-document files."""
 
 from __future__ import annotations
 
@@ -17,14 +17,15 @@ class BadLine(ValueError):
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, strict: bool = True) -> DataFrame:
     """Rows of JSON-lines files with ``schema``; blank lines are skipped.
 
-    With ``strict`` a line that is no JSON object, or doesn't fit the schema, stops the query with its text; otherwise such lines are left out. Field order and extra fields don't matter.
+    With ``strict`` a line that is no JSON object, or doesn't fit the schema, stops the query with its file and text (files are read in pieces, which don't know
+    the numbers of their lines); otherwise such lines are left out. Field order and extra fields don't matter.
     """
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
     shape = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    parsed = lines.select("value", F.from_json("value", T.StructType([*shape.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    parsed = lines.select("value", "_file", F.from_json("value", T.StructType([*shape.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
     wrong = F.col("r").isNull() | F.col("r._bad").isNotNull() | ~F.ltrim("value").startswith("{")
     if strict:
-        parsed = parsed.withColumn("r", F.when(wrong, F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200))).cast(parsed.schema["r"].dataType)).otherwise(F.col("r")))
+        parsed = parsed.withColumn("r", F.when(wrong, F.raise_error(F.concat(F.col("_file"), F.lit(": not a JSON object: "), F.substring("value", 1, 200))).cast(parsed.schema["r"].dataType)).otherwise(F.col("r")))
     else:
         parsed = parsed.where(~wrong)
     return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in shape.fields])
