@@ -95,7 +95,6 @@ def denoised(x: np.ndarray, rate: int, size: int = 512, hop: int = 128, floor: f
     """Spectral subtraction of powers: the noise spectrum is the mean of the first quarter second, ``floor`` the least share of a bin's power that stays.
 
     The recording is padded by half a window at both ends and the result clipped to -1..1; one shorter than a twentieth of a second (or 16 samples) is left as it is.
-    Samples behind the last whole window are those of its fading end.
     """
     x = np.asarray(x, np.float32).ravel()
     if len(x) < max(16, rate // 20):

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from voxsieve.functions import text as tx
 from voxsieve.functions import scalars as sc
 from voxsieve.functions.scalars import content_hash, cosine
+from voxsieve.operators import crops
 from voxsieve.operators import evidence as ev
 from voxsieve.operators import selection as sel
 from voxsieve.plans.selection import CAND, _chain, hot_groups
+from voxsieve.operators.skew import heavy_keys, salted_left_join
 from voxsieve.policy import CLOSE
 from voxsieve.sources.tables import table
 
@@ -38,7 +40,18 @@ def sidecar_priority_join(spark: SparkSession, root: str) -> DataFrame:
 
 
 def alignment_lookup(spark: SparkSession, root: str) -> DataFrame:
-    return ev.matched(_c(spark, root), table(spark, root, "sidecar"), last=True)
+    there = F.col("pcm_sha256").isNotNull() & F.col("wake_text").isNotNull() & F.col("lang").isNotNull()
+    nothing = F.lit(None).cast("string")
+    return ev.aligned(_c(spark, root), table(spark, root, "sidecar"), F.when(there, crops.alignment_key(*[nothing] * 5)))
+
+
+def crop_lookup(spark: SparkSession, root: str) -> DataFrame:
+    return ev.crop_evidence(_c(spark, root), table(spark, root, "sidecar"))
+
+
+def cache_rebind(spark: SparkSession, root: str) -> DataFrame:
+    stored = table(spark, root, "sep_audio_cache_manifest").select("pcm_sha256", "file_sha256", F.col("cached_wav").alias("stored_path"))
+    return ev.rebound(_c(spark, root).select("candidate_id", "pcm_sha256", "source_wav"), stored).drop("pcm_sha256")
 
 
 def sidecar_bind_violations(spark: SparkSession, root: str) -> DataFrame:
@@ -107,8 +120,11 @@ def alignment_normalise(spark: SparkSession, root: str) -> DataFrame:
 
 
 def distinct_feature_reuse(spark: SparkSession, root: str) -> DataFrame:
-    s = table(spark, root, "sidecar")
-    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct("hyp", "wake_text")).alias("n_pairs"), F.count_distinct("pcm_sha256").alias("n_audio"))
+    """A feature worked out once per audio and looked up by every row that has it."""
+    s = table(spark, root, "sidecar").select("row_id", "pcm_sha256")
+    feature = F.substring(F.sha2("pcm_sha256", 256), 1, 12)
+    once = s.where("pcm_sha256 is not null").groupBy("pcm_sha256").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("feature", feature)
+    return salted_left_join(s, once, "pcm_sha256", "row_id", heavy_keys(s, F.col("pcm_sha256"))).select("row_id", "feature", "n_rows")
 
 
 def _described(spark: SparkSession, root: str) -> DataFrame:
@@ -142,6 +158,14 @@ def se_parent_delta(spark: SparkSession, root: str) -> DataFrame:
     return ev.parent_deltas(_c(spark, root)).drop("content_class")
 
 
+def se_parent_similarity(spark: SparkSession, root: str) -> DataFrame:
+    """Vectors of ``embeddings`` stand in for those of the recordings, their first numbers for the likeness to a reference speaker."""
+    vectors = table(spark, root, "embeddings").select("vec_id", "embedding", F.col("embedding")[0].cast("double").alias("speaker_ref_score"))
+    c = _c(spark, root).drop("speaker_ref_score").withColumn("vec_id", F.col("row_id") % 500).join(vectors, "vec_id", "left")
+    d = ev.with_parents(c).where("view = 'moss48k'")
+    return d.select("candidate_id", "raw_parent_pcm_sha256", *[F.round(x, 6).alias(x) for x in ("delta_cer", "cos_se_raw", "gain_ref")])
+
+
 def se_delta_rollup(spark: SparkSession, root: str) -> DataFrame:
     d = ev.parent_deltas(_c(spark, root)).where("delta_cer is not null")
     bucket = F.when(F.col("delta_cer") < -1e-12, "improved").when(F.col("delta_cer") > 1e-12, "worsened").otherwise("same")
@@ -181,7 +205,7 @@ def tag_strip(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        score_key_hash, sidecar_dedupe, sidecar_conflicts, sidecar_priority_join, alignment_lookup, sidecar_bind_violations, missing_asr, qkw_contract, arm_subset_check, arm_availability, lang_infer, stream_canonicalize, text_normalize, text_errors, cer_char, cer_alias_min, wake_coverage, extra_ratio, alignment_normalise,
+        score_key_hash, sidecar_dedupe, sidecar_conflicts, sidecar_priority_join, alignment_lookup, crop_lookup, cache_rebind, se_parent_similarity, sidecar_bind_violations, missing_asr, qkw_contract, arm_subset_check, arm_availability, lang_infer, stream_canonicalize, text_normalize, text_errors, cer_char, cer_alias_min, wake_coverage, extra_ratio, alignment_normalise,
         distinct_feature_reuse, content_class, validity_rules, se_parent_delta, se_delta_rollup, se_view_expand, se_companion, embedding_cosine, asr_ab_audit, tag_strip,
     )
 }
@@ -192,7 +216,13 @@ _KEYS = """SELECT {r} AS row_id, prio, key FROM (SELECT {r}, unnest([0, 1, 2, 3]
   CASE WHEN pcm_sha256 <> '' AND NOT (wake_text IS NOT NULL AND coalesce(lang, '') <> '') THEN 'pcm:' || pcm_sha256 END]) AS key FROM {t}) WHERE key IS NOT NULL"""
 _BOTH = f"WITH {CAND}, ck AS ({_KEYS.format(r='row_id', t='cand')}), sk AS ({_KEYS.format(r='row_id', t='sidecar')}), "
 _MATCH = _BOTH + "firsts AS (SELECT key, {pick}(row_id) AS evidence_row FROM sk GROUP BY key), m AS (SELECT row_id, arg_min(evidence_row, prio) AS evidence_row, min(prio) AS prio FROM ck JOIN firsts USING (key) GROUP BY row_id) "
-_FIRST, _LAST = _MATCH.format(pick="min"), _MATCH.format(pick="max")
+_FIRST = _MATCH.format(pick="min")
+#: The alignment's three kinds of keys; what depends on audio, phrase and language only is written as these.
+_ALIGNED = """SELECT row_id, prio, key FROM (SELECT row_id, unnest([0, 1, 2]) AS prio, unnest([
+  CASE WHEN pcm_sha256 IS NOT NULL AND wake_text IS NOT NULL AND lang IS NOT NULL THEN 'a:' || to_json([pcm_sha256, wake_text, lang])::VARCHAR END, CASE WHEN score_key <> '' THEN 's:' || score_key END,
+  'p:' || coalesce(pcm_sha256, 'None') || '|' || coalesce(wake_text, 'None') || '|' || coalesce(lang, 'None')]) AS key FROM {t}) WHERE key IS NOT NULL"""
+_CROPPED = "SELECT row_id, prio, key FROM (SELECT row_id, unnest([0, 1]) AS prio, unnest([nullif(score_key, ''), nullif(candidate_id, '')]) AS key FROM {t}) WHERE key IS NOT NULL"
+_BEST = "m AS (SELECT row_id, arg_min(evidence_row, prio) AS evidence_row, min(prio) AS prio FROM ck JOIN known USING (key) GROUP BY row_id) SELECT row_id, prio, evidence_row FROM m"
 _DIFFER = " OR ".join(f"coalesce(n.{f} <> f.{f}, false)" for f in ev.COMPARED)
 ORACLES = {
     "score_key_hash": "SELECT row_id, sha256(to_json([pcm_sha256, wake_text, lang])::VARCHAR) AS score_key FROM scored_candidates WHERE pcm_sha256 IS NOT NULL",
@@ -200,7 +230,17 @@ ORACLES = {
     "sidecar_conflicts": f"""WITH sk AS ({_KEYS.format(r='row_id', t='sidecar')}), f1 AS (SELECT key, min(row_id) AS first_row_id FROM sk WHERE key NOT LIKE 'pcm:%' GROUP BY key)
       SELECT key, sk.row_id, first_row_id FROM sk JOIN f1 USING (key) JOIN sidecar n ON n.row_id = sk.row_id JOIN sidecar f ON f.row_id = first_row_id WHERE sk.row_id > first_row_id AND ({_DIFFER})""",
     "sidecar_priority_join": _FIRST + "SELECT row_id, prio, evidence_row FROM m",
-    "alignment_lookup": _LAST + "SELECT row_id, prio, evidence_row FROM m",
+    "alignment_lookup": f"""WITH {CAND}, ck AS ({_ALIGNED.format(t='cand')}), sk AS ({_ALIGNED.format(t='sidecar')}),
+      known AS (SELECT key, CASE WHEN key LIKE 'a:%' THEN max(row_id) ELSE min(row_id) END AS evidence_row FROM sk GROUP BY key), {_BEST}""",
+    "crop_lookup": f"WITH {CAND}, ck AS ({_CROPPED.format(t='cand')}), sk AS ({_CROPPED.format(t='sidecar')}), known AS (SELECT key, max(row_id) AS evidence_row FROM sk GROUP BY key), {_BEST}",
+    "cache_rebind": f"""WITH {CAND}, k AS (SELECT lower(pcm_sha256) AS pcm, cached_wav, file_sha256 FROM sep_audio_cache_manifest WHERE pcm_sha256 <> '' AND cached_wav IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY lower(pcm_sha256) ORDER BY cached_wav, file_sha256 NULLS FIRST) = 1)
+      SELECT candidate_id, coalesce(cached_wav, source_wav) AS source_wav, CASE WHEN cached_wav IS NOT NULL THEN source_wav END AS origin_wav, file_sha256, CASE WHEN cached_wav IS NOT NULL THEN 'sep_pcm' END AS audio_cache_kind
+      FROM cand LEFT JOIN k ON k.pcm = lower(nullif(pcm_sha256, ''))""",
+    "se_parent_similarity": f"""WITH {CAND}, v AS (SELECT cand.*, embedding::DOUBLE[] AS e FROM cand LEFT JOIN embeddings ON vec_id = row_id % 500)
+      SELECT c.candidate_id, CASE WHEN two THEN p_pcm END AS raw_parent_pcm_sha256, round(CASE WHEN two THEN d END, 6) AS delta_cer, round(CASE WHEN two THEN cos END, 6) AS cos_se_raw, round(CASE WHEN two THEN g END, 6) AS gain_ref
+      FROM (SELECT c.candidate_id, c.cer_route IS NOT NULL AND p.cer_route IS NOT NULL AS two, p.pcm_sha256 AS p_pcm, c.cer_route - p.cer_route AS d, list_cosine_similarity(c.e, p.e) AS cos, c.e[1] - p.e[1] AS g
+        FROM v c LEFT JOIN v p ON p.candidate_id = nullif(c.raw_parent_candidate_id, '') WHERE c.view = 'moss48k') c""",
     "sidecar_bind_violations": _FIRST
     + """, x AS (SELECT m.row_id, evidence_row, coalesce(nullif(c.pcm_sha256, '') <> nullif(s.pcm_sha256, ''), false) AS bad_pcm, coalesce(nullif(c.wake_text, '') <> nullif(s.wake_text, ''), false) AS bad_wake, coalesce(nullif(c.lang, '') <> nullif(s.lang, ''), false) AS bad_lang
       FROM m JOIN cand c USING (row_id) JOIN sidecar s ON s.row_id = evidence_row) SELECT * FROM x WHERE bad_pcm OR bad_wake OR bad_lang""",
@@ -220,7 +260,7 @@ ORACLES = {
       SELECT arm_index.row_id, coalesce(string_agg(name, ',' ORDER BY pos), '') AS names FROM arm_index LEFT JOIN d USING (row_id) GROUP BY arm_index.row_id""",
     "alignment_normalise": f"""WITH {CAND}, k AS (SELECT score_key, min(pcm_sha256) AS p, min(wake_text) AS w, min(lang) AS l FROM cand WHERE score_key IS NOT NULL GROUP BY score_key)
       SELECT row_id, score_key, coalesce(pcm_sha256, p) AS pcm_sha256, coalesce(wake_text, w) AS wake_text, coalesce(lang, l) AS lang FROM sidecar LEFT JOIN k USING (score_key)""",
-    "distinct_feature_reuse": "SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT hyp, wake_text FROM sidecar)) AS n_pairs, count(DISTINCT pcm_sha256) AS n_audio FROM sidecar",
+    "distinct_feature_reuse": "SELECT row_id, substr(sha256(pcm_sha256), 1, 12) AS feature, CASE WHEN pcm_sha256 IS NOT NULL THEN count(*) OVER (PARTITION BY pcm_sha256) END AS n_rows FROM sidecar",
     "se_parent_delta": f"WITH {CAND} SELECT c.candidate_id, c.cer_route - p.cer_route AS delta_cer, c.nll - p.nll AS delta_nll FROM cand c LEFT JOIN cand p ON p.candidate_id = nullif(c.raw_parent_candidate_id, '') WHERE c.view = 'moss48k'",
     "se_delta_rollup": f"""WITH {CAND}, d AS (SELECT c.content_class, CASE WHEN c.cer_route - p.cer_route < -1e-12 THEN 'improved' WHEN c.cer_route - p.cer_route > 1e-12 THEN 'worsened' ELSE 'same' END AS bucket
       FROM cand c JOIN cand p ON p.candidate_id = c.raw_parent_candidate_id WHERE c.view = 'moss48k' AND c.cer_route IS NOT NULL AND p.cer_route IS NOT NULL)

@@ -14,7 +14,9 @@ from voxsieve.operators import selection as sel
 from voxsieve.operators.compaction import absolute_path
 from voxsieve.operators.ordered import exact_quantile, numbered
 from voxsieve.plans.selection import _DECIDED, CAND, _chain, hot_groups
+from voxsieve.operators.skew import salted_left_join
 from voxsieve.policy import CLOSE
+from voxsieve.session import settled
 from voxsieve.sources.tables import table
 
 
@@ -24,7 +26,7 @@ def _c(spark: SparkSession, root: str) -> DataFrame:
 
 def _selected(spark: SparkSession, root: str) -> DataFrame:
     c = _c(spark, root)
-    ids = sel.decisions(c, CLOSE, hot_groups(spark, root)).where("selected_id is not null").select(F.col("selected_id").alias("candidate_id"))
+    ids = sel.decisions(c, CLOSE, hot_groups(spark, root)).where("selected_id is not null").select(F.col("selected_id").alias("candidate_id"), "reason_code")
     return c.join(ids, "candidate_id")
 
 
@@ -41,19 +43,25 @@ def cache_hit_miss(spark: SparkSession, root: str) -> DataFrame:
 
 
 def loss_reason(spark: SparkSession, root: str) -> DataFrame:
-    return rep.loss_reasons(_c(spark, root), _selected(spark, root))
+    return rep.loss_reasons(_c(spark, root), _selected(spark, root), hot_groups(spark, root))
 
 
 def group_order(spark: SparkSession, root: str) -> DataFrame:
     return rep.group_orders(_c(spark, root))
 
 
+#: What the decisions and the listing read of a candidate.
+_LISTED = [*sel.METRICS, "role", "view", "stream", "uid", "split", "pcm_sha256", "content_class", "qkw_calibrated", "validity", "s7_available", "decode_ok", "source_wav"]
+
+
 def _index(spark: SparkSession, root: str) -> DataFrame:
-    c = _c(spark, root)
-    chosen = sel.decisions(c, CLOSE, hot_groups(spark, root)).select("group_key", "selected_id")
+    hot = hot_groups(spark, root)
+    c = settled(_c(spark, root).select("candidate_id", "group_key", *[x for x in _LISTED if x not in ("candidate_id", "group_key")]), "candidates")
+    chosen = sel.decisions(c, CLOSE, hot).select("group_key", "selected_id")
+    per_group = chosen.join(rep.group_orders(c), "group_key")
     is_it = F.coalesce(F.col("candidate_id") == F.col("selected_id"), F.lit(False))
     marker = F.when(is_it, "SELECTED").when(F.col("decode_ok"), "REJECTED").otherwise("FAILED")
-    d = c.join(chosen, "group_key").join(rep.group_orders(c), "group_key").withColumn("marker", marker)
+    d = salted_left_join(c, per_group, "group_key", "candidate_id", hot).withColumn("marker", marker)
     return d.withColumn("slot", F.when(F.col("marker") == "FAILED", rep.failed_slots()).otherwise(rep.slots(is_it)))
 
 
@@ -71,7 +79,7 @@ def export_validate(spark: SparkSession, root: str) -> DataFrame:
 
 def export_summary(spark: SparkSession, root: str) -> DataFrame:
     s = _selected(spark, root)
-    parts = [("view", F.concat_ws(":", "role", "view")), ("stream", F.col("stream")), ("split", F.col("split"))]
+    parts = [("view", F.concat_ws(":", "role", "view")), ("stream", F.col("stream")), ("split", F.col("split")), ("reason", F.col("reason_code"))]
     each = s.select("cer_route", F.explode(F.array(*[F.struct(F.lit(k).alias("dimension"), v.alias("value")) for k, v in parts])).alias("d"))
     return each.groupBy("d.dimension", "d.value").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("cer_route"), 6).alias("mean_cer"))
 
@@ -143,6 +151,22 @@ def crop_specs(spark: SparkSession, root: str) -> DataFrame:
     return crops.crop_specs(_occurrences(spark, root))
 
 
+def crop_keys(spark: SparkSession, root: str) -> DataFrame:
+    cuts = crops.crop_specs(_occurrences(spark, root))
+    key = crops.crop_key(F.sha2(F.col("source").cast("string"), 256), F.lit(crops.crop_policy_digest({"fade_ms": 0})), F.lit(16_000))
+    return cuts.select("source", "view", key.alias("crop_key"))
+
+
+def ctc_forced_align(spark: SparkSession, root: str) -> DataFrame:
+    """The vectors of ``embeddings`` as matrices of 8 frames and 8 labels, aligned to two labels each."""
+    frames = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda t: F.transform(F.slice("embedding", t * 8 + 1, 8), lambda x: x.cast("double")))
+    logs = lambda f: F.transform(f, lambda x: x - F.ln(F.aggregate(f, F.lit(0.0), lambda s, y: s + F.exp(y))))
+    tokens = F.array((F.col("label") % 7 + 1).cast("int"), (F.col("vec_id") % 7 + 1).cast("int"))
+    d = signal.alignments(table(spark, root, "embeddings").select("vec_id", F.transform(frames, logs).alias("log_probs"), tokens.alias("tokens")))
+    shown = [F.col(f"alignment.{x}").alias(x) for x in ("start_frame", "end_frame", "start_sec", "end_sec")]
+    return d.select("vec_id", *shown, *[F.round(F.col(f"alignment.{x}"), 6).alias(x) for x in ("align_logp_sum", "align_logp_mean", "token_score_min")])
+
+
 def duration_bucket(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").groupBy(sc.duration_bucket(F.col("value") / 10).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -210,13 +234,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         asr_manifest, cache_hit_miss, loss_reason, group_order, export_slots, export_names, export_validate, export_summary, missing_uid_groups, uid_fingerprint, score_meta, inventory_meta, paired_delta, local_gate, lang_not_worse, pair_improved, crop_select, crop_occurrences,
-        crop_specs, duration_bucket, duration_tolerance, longest_run, frame_energy_metrics, spectral_metrics, calib_stats, calib_fit, calib_apply, ctc_align_score,
+        crop_specs, crop_keys, ctc_forced_align, duration_bucket, duration_tolerance, longest_run, frame_energy_metrics, spectral_metrics, calib_stats, calib_fit, calib_apply, ctc_align_score,
     )
 }
 
 _PATH = "'/' || array_to_string(list_filter(string_split(regexp_replace(source_wav, '^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?', ''), '/'), lambda s: s <> '' AND s <> '.'), '/')"
-_SEL = _DECIDED + ", s AS (SELECT cand.* FROM cand JOIN decided ON selected_id = candidate_id) "
-_ORDERED = "SELECT group_key, row_number() OVER (ORDER BY CASE WHEN split = 'pos' THEN 0 ELSE 1 END, list_transform(regexp_extract_all(lower(uid), '[0-9]+|[^0-9]+'), lambda r: CASE WHEN regexp_matches(r, '^[0-9]') THEN lpad(ltrim(r, '0'), 20, '0') ELSE r END), group_key) AS group_order FROM (SELECT DISTINCT group_key, split, uid FROM cand)"
+_SEL = _DECIDED + ", s AS (SELECT cand.*, decided.reason_code FROM cand JOIN decided ON selected_id = candidate_id) "
+_ORDERED = "SELECT group_key, row_number() OVER (ORDER BY CASE WHEN split = 'pos' THEN 0 ELSE 1 END, list_transform(regexp_extract_all(lower(uid), '[0-9]+|[^0-9]+'), lambda r: CASE WHEN regexp_matches(r, '^[0-9]') THEN lpad(greatest(1, length(ltrim(r, '0')))::VARCHAR, 10, '0') || coalesce(nullif(ltrim(r, '0'), ''), '0') ELSE r END), group_key) AS group_order FROM (SELECT DISTINCT group_key, split, uid FROM cand)"
 _SLOT = "CASE WHEN stream = 'original' THEN 0 WHEN regexp_matches(stream, '^spk[1-4]$') THEN substr(stream, 4)::INT WHEN regexp_matches(stream, '^spk[0-9]+$') THEN substr(stream, 4)::INT + 1 ELSE 900 END"
 _INDEX = (
     _DECIDED
@@ -239,9 +263,9 @@ ORACLES = {
     "group_order": f"WITH {CAND} {_ORDERED}",
     "export_slots": _INDEX + "SELECT candidate_id, marker, slot FROM x",
     "export_names": _INDEX
-    + "SELECT candidate_id, array_to_string([lpad(group_order::VARCHAR, 6, '0'), substr(sha256(split || chr(0) || uid), 1, 8), lpad(slot::VARCHAR, 4, '0'), marker, role, view, stream, 'P-' || substr(coalesce(pcm_sha256, 'undec'), 1, 8)], '__') AS name FROM x",
+    + "SELECT candidate_id, array_to_string([CASE WHEN group_order > 999999 THEN group_order::VARCHAR ELSE lpad(group_order::VARCHAR, 6, '0') END, substr(sha256(split || chr(0) || uid), 1, 8), lpad(slot::VARCHAR, 4, '0'), marker, role, view, stream, 'P-' || substr(coalesce(pcm_sha256, 'undec'), 1, 8)], '__') AS name FROM x",
     "export_summary": _SEL
-    + ", e AS (SELECT cer_route, unnest(['view', 'stream', 'split']) AS dimension, unnest([role || ':' || view, stream, split]) AS value FROM s) SELECT dimension, value, count(*) AS n, round(avg(cer_route), 6) AS mean_cer FROM e GROUP BY ALL",
+    + ", e AS (SELECT cer_route, unnest(['view', 'stream', 'split', 'reason']) AS dimension, unnest([role || ':' || view, stream, split, reason_code]) AS value FROM s) SELECT dimension, value, count(*) AS n, round(avg(cer_route), 6) AS mean_cer FROM e GROUP BY ALL",
     "missing_uid_groups": f"WITH {CAND} SELECT DISTINCT split, uid FROM arm_index WHERE (split, uid) NOT IN (SELECT (split, uid) FROM cand WHERE cer_route IS NOT NULL)",
     "uid_fingerprint": f"""WITH {CAND}, h AS (SELECT DISTINCT sha256(split || chr(0) || uid) AS h FROM cand), t AS (SELECT count(*) AS n, sum(('0x' || substr(h, 1, 12))::BIGINT)::HUGEINT AS s, bit_xor(('0x' || substr(h, 13, 15))::BIGINT) AS x FROM h)
       SELECT n, sha256(n || ':' || s || ':' || x) AS fingerprint FROM t""",
@@ -268,6 +292,18 @@ ORACLES = {
     + """, p(view, a, b) AS (VALUES ('keyword_tight', 0.08::DOUBLE, 0.12::DOUBLE), ('keyword_normal', 0.16::DOUBLE, 0.24::DOUBLE), ('keyword_wide', 0.30::DOUBLE, 0.40::DOUBLE), ('speaker_ctx', 0.50::DOUBLE, 0.60::DOUBLE)),
       c AS (SELECT source, view, greatest(0, round_even((start_sec - a) * 16000, 0)::BIGINT) AS start_sample, least(800000, round_even((end_sec + b) * 16000, 0)::BIGINT) AS end_sample FROM ok, p)
       SELECT source, view, start_sample, end_sample, start_sample = 0 OR end_sample = 800000 AS boundary_clamped FROM c WHERE end_sample > start_sample AND (end_sample - start_sample) / 16000 >= 0.12""",
+    "crop_keys": _OCC
+    + f""", p(view, a, b) AS (VALUES ('keyword_tight', 0.08::DOUBLE, 0.12::DOUBLE), ('keyword_normal', 0.16::DOUBLE, 0.24::DOUBLE), ('keyword_wide', 0.30::DOUBLE, 0.40::DOUBLE), ('speaker_ctx', 0.50::DOUBLE, 0.60::DOUBLE)),
+      c AS (SELECT source, view, greatest(0, round_even((start_sec - a) * 16000, 0)::BIGINT) AS s, least(800000, round_even((end_sec + b) * 16000, 0)::BIGINT) AS e FROM ok, p)
+      SELECT source, view, sha256('{{"alignment_key": "' || sha256(source::VARCHAR) || '", "crop_policy_hash": "{crops.crop_policy_digest({"fade_ms": 0})}", "end_sample": ' || e || ', "fade_ms": 0, "sample_rate": 16000, "start_sample": ' || s || '}}') AS crop_key FROM c WHERE e > s AND (e - s) / 16000 >= 0.12""",
+    # every way to lay two labels into eight frames: the first from a to b, blanks to c, the second to d, blanks to the end
+    "ctc_forced_align": """WITH x AS (SELECT vec_id, label % 7 + 1 AS k1, vec_id % 7 + 1 AS k2, t, embedding::DOUBLE[] AS e, list_sum(list_transform(embedding[t * 8 + 1 : t * 8 + 8]::DOUBLE[], lambda v: exp(v))) AS z FROM embeddings, range(8) r(t)),
+      f AS (SELECT vec_id, k1, k2, t, e[t * 8 + 1 + k1] - ln(z) AS l1, e[t * 8 + 1 + k2] - ln(z) AS l2, e[t * 8 + 1] - ln(z) AS l0 FROM x),
+      p AS (SELECT vec_id, k1, k2, t + 1 AS t, sum(l1) OVER w AS s1, sum(l2) OVER w AS s2, sum(l0) OVER w AS s0 FROM f WINDOW w AS (PARTITION BY vec_id ORDER BY t) UNION ALL SELECT DISTINCT vec_id, k1, k2, 0, 0, 0, 0 FROM f),
+      g AS (SELECT a.vec_id, a.t AS a, d.t AS d, (b.s1 - a.s1) / (b.t - a.t) AS m1, (d.s2 - c.s2) / (d.t - c.t) AS m2, (b.s1 - a.s1) + (c.s0 - b.s0) + (d.s2 - c.s2) AS total, z.s0 - d.s0 AS rest
+        FROM p a JOIN p b ON b.vec_id = a.vec_id AND b.t > a.t JOIN p c ON c.vec_id = a.vec_id AND c.t >= b.t AND (c.t > b.t OR a.k1 <> a.k2) JOIN p d ON d.vec_id = a.vec_id AND d.t > c.t JOIN p z ON z.vec_id = a.vec_id AND z.t = 8)
+      SELECT vec_id, a AS start_frame, d - 1 AS end_frame, a / 50.0::DOUBLE AS start_sec, d / 50.0::DOUBLE AS end_sec, round(total, 6) AS align_logp_sum, round((m1 + m2) / 2, 6) AS align_logp_mean, round(least(m1, m2), 6) AS token_score_min
+      FROM g QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY total + rest DESC) = 1""",
     "duration_bucket": "SELECT floor(value / 10 / 0.5)::BIGINT AS bucket, count(*) AS n FROM events GROUP BY ALL",
     "duration_tolerance": "SELECT event_id, abs(new - value) <= greatest(0.1::DOUBLE, value * 0.02::DOUBLE) AS within FROM (SELECT event_id, value, lead(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS new FROM events) WHERE new IS NOT NULL",
     "longest_run": _NUMBERED + " SELECT user_id, max(c) AS longest FROM (SELECT user_id, count(*) AS c FROM (SELECT user_id, no - row_number() OVER (PARTITION BY user_id ORDER BY no) AS g FROM n WHERE value > 10) GROUP BY user_id, g) GROUP BY user_id",

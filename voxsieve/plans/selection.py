@@ -149,13 +149,29 @@ def _chain(p: Policy, source: str = "cand", cand: bool = True) -> str:
     return (f"WITH {CAND}, " if cand else "WITH ") + ",\n".join(ctes)
 
 
-def _ranks(p: Policy, most: int) -> str:
-    """The winner of what earlier ranks left, ``most`` times."""
-    rounds = []
-    for k in range(1, most + 1):
-        gone = "".join(f" AND candidate_id NOT IN (SELECT candidate_id FROM w{i})" for i in range(1, k))
-        rounds.append(f"w{k} AS MATERIALIZED ({_chain(p, f'(SELECT * FROM cand WHERE true{gone})', False)} SELECT group_key, role, candidate_id, {k} AS stage_rank FROM win)")
-    return f"WITH {CAND}, " + ",\n".join(rounds) + " " + " UNION ALL ".join(f"SELECT * FROM w{k}" for k in range(1, most + 1))
+def _ranks(p: Policy) -> str:
+    """All ranks: each step finds the winners of what earlier steps left and passes on the rest."""
+    part = "OVER (PARTITION BY group_key, role)"
+    near = lambda gap, m: f"({gap} < {m} - 1e-15 OR abs({gap}) <= 1e-12)"
+    count = lambda x, k: f"count({x}) FILTER (WHERE a{k}) {part}"
+    least = lambda x, k: f"min({x}) FILTER (WHERE a{k}) {part}"
+    q = "CASE WHEN qkw_calibrated THEN -q_kw END"
+    steps = [f"SELECT *, cer_route <= min(cer_route) {part} + {p.cer_close_delta + 1e-12!r} AS a0 FROM rec WHERE NOT won"]
+    steps.append(
+        f"SELECT *, a0 AND CASE WHEN {count('*', 0)} = {count(q, 0)} THEN {near(f'({q} - {least(q, 0)})', p.qkw_switch_margin)} WHEN {count('*', 0)} = {count('nll', 0)} THEN {near(f'(nll - {least("nll", 0)})', p.nll_switch_margin)} ELSE true END AS a1"
+    )
+    metrics = (("extra_ratio", p.quality_regression_tolerance), ("p_overlap", p.noise_switch_margin), ("clip_rate", p.quality_regression_tolerance))
+    for k, (m, margin) in enumerate(metrics, 1):
+        steps.append(f"SELECT *, a{k} AND CASE WHEN {count('*', k)} = {count(m, k)} THEN {near(f'({m} - {least(m, k)})', margin)} ELSE true END AS a{k + 1}")
+    last = len(metrics) + 1
+    steps.append(f"SELECT *, a{last} AND (view = 'moss48k' OR count(*) FILTER (WHERE a{last} AND view = 'moss48k') {part} = 0) AS a{last + 1}")
+    nested = steps[0]
+    for x in steps[1:]:
+        nested = f"{x} FROM ({nested})"
+    fields = "group_key, role, candidate_id, view, stream, cer_route, qkw_calibrated, q_kw, nll, extra_ratio, p_overlap, clip_rate"
+    return f"""WITH RECURSIVE {CAND}, rec AS (SELECT {fields}, 0 AS stage_rank, false AS won FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL
+      UNION ALL SELECT {fields}, stage_rank + 1, row_number() OVER (PARTITION BY group_key, role ORDER BY CASE WHEN a{last + 1} THEN 0 ELSE 1 END, {_order(True)}) = 1 FROM ({nested}))
+      SELECT group_key, role, candidate_id, stage_rank FROM rec WHERE won"""
 
 
 _GAIN = """CASE WHEN b.qkw_calibrated AND a.qkw_calibrated THEN b.q_kw - a.q_kw END"""
@@ -209,7 +225,7 @@ ORACLES = {
       FROM win b LEFT JOIN raw a USING (group_key, role) LEFT JOIN enh e USING (group_key, role)""",
     "conservative_tiebreak": f"WITH {CAND} SELECT group_key, role, candidate_id AS first_id FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL QUALIFY row_number() OVER (PARTITION BY group_key, role ORDER BY {_order(False)}) = 1",
     "cer_rank": f"WITH {CAND} SELECT candidate_id, row_number() OVER (PARTITION BY group_key, role ORDER BY cer_route, candidate_id) AS cer_rank FROM cand WHERE validity = 'rankable' AND cer_route IS NOT NULL",
-    "stage_rank": _ranks(CLOSE, 3),
+    "stage_rank": _ranks(CLOSE),
     "availability": f"WITH {CAND} {_AVAILABLE}",
     "tie_gains": f"{_chain(CLOSE)}, {_SIDES} SELECT group_key, {_GAIN} AS q_kw_gain, NULL::DOUBLE AS keyword_gain, a.nll - b.nll AS nll_gain, NULL::DOUBLE AS speaker_gain FROM a FULL JOIN b USING (group_key)",
     "quality_gain": f"{_chain(CLOSE)}, {_SIDES} SELECT group_key, {_NOT_WORSE} AS not_worse, {_GAINS} AS gains FROM a JOIN b USING (group_key)",
