@@ -18,7 +18,7 @@ STRICT = {
     "Cyrillic": ("АВЕЅІЈКМНОРСТУХаеорсухѕіјһԁԛԝѵ", "ABESIJKMHOPCTYXaeopcyxsijhdqwv"),
     "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαγιορυνϲϳ", "ABEZHIKMNOPTYXayiopuvcj"),
     "Armenian": ("ՕՍՏԼօոսհցզյ", "OUSLonuhgqj"),
-    "Cherokee": ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏙᏚᏞᏟᏢᏦ", "DRTAJEWMHGZVSLCPK"),
+    "Cherokee": ("ᎠᎡᎢᎪᎫᎬᎮᎳᎷᎻᏀᏃᏙᏚᏞᏟᏢᏦ", "DRTAJEPWMHGZVSLCPK"),
     "Latin": ("ɑɡıɩʏᴄᴏᴠᴡᴢꞵ", "agiiycovwzb"),
 }
 # Letters that pass for a Latin letter only beside Latin ones.
@@ -29,19 +29,46 @@ BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
 INVISIBLE = r"[\p{Cf}[\p{Cc}&&[^\t-\r\x1C-\x1F\x85]]\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{3164}\x{FE00}-\x{FE0F}\x{FFA0}\x{E0100}-\x{E01EF}]"
 #: Texts of only these characters are plain already: they neither map nor combine.
 INERT = r"^[\x20-\x7E\x{A1}-\x{A7}\x{AB}\x{B0}\x{B1}\x{BB}\x{BF}-\x{FF}\x{2013}\x{2014}\x{2018}-\x{201D}\x{3001}-\x{3003}\x{3008}-\x{3011}\x{4E00}-\x{9FFF}]*\z"
-#: Words (with their marks) and what stands between them, in pieces of bounded length.
-PIECES = r"[\p{L}\p{M}\p{N}]{1,512}[\p{M}\x{FF9E}\x{FF9F}]*|[^\p{L}\p{M}\p{N}]{1,512}[\p{M}\x{FF9E}\x{FF9F}]*"
-SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE")
+#: Words (with their marks) and what stands between them.
+WORDS = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]+[\p{M}\x{FF9E}\x{FF9F}]*"
+#: A word in pieces of about 512 characters, none of which begins with a character that may join the one before: marks, Hangul vowels and finals, half-width voice marks.
+PIECES = r"(?s).{1,512}[\p{M}\x{1160}-\x{11FF}\x{FF9E}-\x{FFDC}]*"
+#: Scripts whose letters can be taken for Latin ones; a word with other letters of them is truly in that script.
+SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "COPTIC", "LISU", "CANADIAN", "TIFINAGH", "GEORGIAN", "RUNIC", "LYCIAN", "CARIAN", "OLD", "DESERET", "OSAGE", "ELBASAN")
+#: Of these scripts the letters that only the public data names pass for Latin ones beside Latin ones only, as ordinary words consist of them.
+LIVING = ("ARMENIAN", "GEORGIAN")
 
 
-@lru_cache(1)
-def code_point_rows() -> list[tuple[int, list[tuple]]]:
-    """(code point, [(code point, combining class, kind, look-alike)...]) where the mapping isn't the identity or the kind isn't 'n'.
+def look_alikes(spark: SparkSession) -> tuple[dict[str, str], dict[str, str]]:
+    """(strict, loose) letters with the basic Latin letter each looks like.
 
-    Kinds: l Latin, s strict and w loose look-alike of a Latin letter, o another letter of these scripts, n anything else.
+    Beside the lists above these are all letters of SCRIPTS that Unicode's data of confusable characters, which Spark's class path brings along, gives the
+    same look as a basic Latin letter. Of a letter's two forms the second follows the first's list.
     """
     strict = {a: b for x, y in STRICT.values() for a, b in zip(x, y, strict=True)}
     loose = {a: b for x, y in LOOSE.values() for a, b in zip(x, y, strict=True)}
+    basic = [chr(n) for n in (*range(0x41, 0x5B), *range(0x61, 0x7B))]
+    script = {c: unicodedata.name(c, "").split(" ")[0] for n in range(0x80, 0x11000) if unicodedata.category(c := chr(n))[0] == "L"}
+    letters = [c for c, s in script.items() if s in SCRIPTS and unicodedata.normalize("NFKD", c) == c]
+    look = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build().getSkeleton("\n".join([*basic, *letters])).split("\n")
+    latin: dict[str, str] = {}
+    for c, x in zip(basic, look):
+        latin[x] = latin.get(x, "") + c  # I and l look the same
+    for c, x in zip(letters, look[len(basic) :], strict=True):
+        if x in latin and c not in strict and c not in loose:
+            usual = script[c] in LIVING or c.lower() in loose
+            (loose if usual else strict)[c] = latin[x][-1 if c.islower() else 0]
+    return strict, loose
+
+
+@lru_cache(1)
+def code_point_rows(spark: SparkSession) -> list[tuple[int, list[tuple]]]:
+    """(code point, [(code point, combining class, kind, look-alike)...]) where the mapping isn't the identity or the kind isn't 'n'.
+
+    Kinds: l Latin, s strict and w loose look-alike of a Latin letter, o another letter of these scripts, n anything else. What a letter looks like counts before
+    what it is decomposed to.
+    """
+    strict, loose = look_alikes(spark)
 
     def one(c: str) -> tuple:
         kind = "n"
@@ -55,6 +82,8 @@ def code_point_rows() -> list[tuple[int, list[tuple]]]:
         if 0xAC00 <= n <= 0xD7A3 or 0xD800 <= n <= 0xDFFF or 0x4E00 <= n <= 0x9FFF:
             continue  # precomposed Hangul stays composed; surrogates aren't characters; ideographs map to themselves
         parts = [one(x) for x in (" " if c in BLANKS else unicodedata.normalize("NFKD", c))]
+        if c in strict and len(parts) == 1:
+            parts = [(*parts[0][:2], "s", ord(strict[c]))]
         if parts != [(n, 0, "n", n)]:
             rows.append((n, parts))
     rows += [(ord(c), [(32, 0, "n", 32)]) for c in BLANKS if ord(c) < 0x80]
@@ -108,7 +137,7 @@ def _composed(points: Column, table: Column) -> Column:
 
 
 def _tables(spark: SparkSession) -> tuple[DataFrame, Column]:
-    mapped = spark.createDataFrame(code_point_rows(), "cp int, parts array<struct<cp:int,ccc:int,kind:string,look:int>>")
+    mapped = spark.createDataFrame(code_point_rows(spark), "cp int, parts array<struct<cp:int,ccc:int,kind:string,look:int>>")
     pairs = compositions()
     return mapped, F.map_from_arrays(F.lit(list(pairs)).cast("array<bigint>"), F.lit(list(pairs.values())).cast("array<int>"))
 
@@ -118,14 +147,15 @@ def plain_forms(rows: DataFrame, text: str) -> DataFrame:
 
     Distinct texts are found first (the one shuffle); their code points then stay in the same partition. A word of Latin letters and
     look-alikes becomes Latin; a word of look-alikes only does too, unless the text holds a word truly in
-    such a script. Words longer than 512 characters are treated in pieces. Nulls have no row, the empty text is plain.
+    such a script. Long words are exploded and recomposed in pieces, but judged whole. Nulls have no row, the empty text is plain.
     """
     spark = rows.sparkSession
     mapped, pairs = _tables(spark)
     odd = rows.where(F.col(text).isNotNull() & ~F.col(text).rlike(INERT))
     texts = odd.groupBy(F.sha2(F.col(text), 256).alias("tid")).agg(F.first(text).alias("text"))
-    pieces = texts.select("tid", F.posexplode(F.regexp_extract_all(F.regexp_replace("text", INVISIBLE, ""), F.lit(PIECES), 0)).alias("piece", "word"))
-    points = pieces.select("tid", "piece", F.posexplode(code_points(F.col("word"))).alias("pos", "cp"))
+    words = texts.select("tid", F.posexplode(F.regexp_extract_all(F.regexp_replace("text", INVISIBLE, ""), F.lit(WORDS), 0)).alias("word", "letters"))
+    pieces = words.select("tid", F.posexplode(F.regexp_extract_all("letters", F.lit(PIECES), 0)).alias("at", "piece_text"), "word").select("tid", F.struct("word", "at").alias("piece"), "piece_text")
+    points = pieces.select("tid", "piece", F.posexplode(code_points(F.col("piece_text"))).alias("pos", "cp"))
     same = F.array(F.struct(F.col("cp").alias("cp"), F.lit(0).alias("ccc"), F.lit("n").alias("kind"), F.col("cp").alias("look")))
     parts = points.join(F.broadcast(mapped), "cp", "left").select("tid", "piece", "pos", F.posexplode(F.coalesce("parts", same)).alias("sub", "p"))
     listed = parts.groupBy("tid", "piece").agg(
@@ -142,13 +172,17 @@ def plain_forms(rows: DataFrame, text: str) -> DataFrame:
         chosen = F.transform("all", lambda x: F.struct(x[field].alias("cp"), x["ccc"].alias("ccc")))
         return from_code_points(F.when(has_marks, _composed(chosen, pairs)).otherwise(F.transform("all", lambda x: x[field])))
 
+    # what a piece looks like as Latin is built wherever it has look-alikes; the whole word decides
+    built_pieces = listed.select("tid", F.col("piece.word").alias("word"), "piece", *[f"n_{k}" for k in "lswo"], built("cp").alias("own"), F.when(F.col("n_s") + F.col("n_w") > 0, built("look")).alias("look"))
+    of_word = built_pieces.groupBy("tid", "word").agg(F.sort_array(F.collect_list(F.struct("piece", "own", F.coalesce("look", "own").alias("look")))).alias("p"), *[F.sum(f"n_{k}").alias(f"n_{k}") for k in "lswo"])
+    text_of = lambda field: F.array_join(F.transform("p", lambda x: x[field]), "")
     mixed = ((F.col("n_o") + F.col("n_w") == 0) & (F.col("n_s") > 0) & (F.col("n_l") > 0)) | ((F.col("n_o") == 0) & (F.col("n_w") > 0) & (F.col("n_l") > F.col("n_w") + F.col("n_s")))
     alone = (F.col("n_s") > 0) & (F.col("n_l") + F.col("n_o") + F.col("n_w") == 0)
-    words = listed.select(
+    words = of_word.select(
         "tid",
-        "piece",
-        built("cp").alias("own"),
-        F.when(mixed | alone, built("look")).alias("latin"),
+        F.col("word").alias("piece"),
+        text_of("own").alias("own"),
+        F.when(mixed | alone, text_of("look")).alias("latin"),
         alone.alias("alone"),
         ((F.col("n_o") + F.col("n_w") > 0) & ~mixed).alias("foreign"),
     )
@@ -167,6 +201,6 @@ def changed_rows(rows: DataFrame, text: str) -> DataFrame:
     odd = rows.where(F.col(text).isNotNull() & ~F.col(text).rlike(INERT)).withColumn("_tid", F.sha2(F.col(text), 256))
     forms = plain_forms(rows, text)
     hot = heavy_keys(odd, F.col("_tid"))
-    left = odd.withColumn("_salt", salt_of(F.col("_tid"), F.rand(17), hot, 64))
+    left = odd.withColumn("_salt", salt_of(F.col("_tid"), F.xxhash64(*[c for c, kind in rows.dtypes if "map<" not in kind]), hot, 64))
     right = forms.withColumn("_salt", F.explode(salts_for(F.col("tid"), hot, 64))).withColumnsRenamed({"tid": "_tid", "plain": "_plain"})
     return left.join(right, ["_tid", "_salt"]).where(F.col("_plain") != F.col(text)).select(*[c for c in rows.columns if c.lower() != "plain"], F.col("_plain").alias("plain"))
