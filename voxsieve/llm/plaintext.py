@@ -136,10 +136,12 @@ def _composed(points: Column, table: Column) -> Column:
     return F.aggregate(points, start, step, flushed)
 
 
+@lru_cache(1)
 def _tables(spark: SparkSession) -> tuple[DataFrame, Column]:
     mapped = spark.createDataFrame(code_point_rows(spark), "cp int, parts array<struct<cp:int,ccc:int,kind:string,look:int>>")
     pairs = compositions()
-    return mapped, F.map_from_arrays(F.lit(list(pairs)).cast("array<bigint>"), F.lit(list(pairs.values())).cast("array<int>"))
+    keys, values = (", ".join(f"{x}{kind}" for x in part) for part, kind in ((pairs, "L"), (pairs.values(), "")))
+    return mapped, F.expr(f"map_from_arrays(array({keys}), array({values}))")  # one text costs less than thousands of calls into the JVM
 
 
 def plain_forms(rows: DataFrame, text: str) -> DataFrame:
