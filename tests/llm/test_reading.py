@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.duck import ROOT
@@ -36,13 +37,24 @@ def test_held_out_labels(spark):
     root = f"{ROOT}/sf0.1"
     docs, labels = table(spark, root, "documents"), table(spark, root, "level_labels")
     common = rd.common_units(docs)
-    assert len(common) <= rd.COMMON_WORDS
+    assert all(len(words) <= rd.COMMON_WORDS for words in common.values()) and "the" in common["latin"][:50] and "的" in common["zh"][:50]
     for x, y in rd.graded(docs, labels, common).values():
         held = np.arange(len(y)) % 3 == 0
         p = rd.fit(x[~held], y[~held]).levels(x[held])
         assert np.abs(p - y[held]).mean() < 0.4 and (np.rint(p) == np.rint(y[held])).mean() > 0.7
 
 
+def test_scripts_and_syntax(spark):
+    docs = spark.createDataFrame([(1, "The cat sat. The dog ran, and it barked."), (2, "小猫坐着。小狗跑了。"), (3, "Кошка сидела. Собака бежала."), (4, "Read <img alt='" + "x" * 300 + "'> this."), (5, "Cafe cats, cafe dogs")], "doc_id long, text string")
+    got = {r.doc_id: r for r in rd.segmented(docs).collect()}
+    assert {k: r.script for k, r in got.items()} == {1: "latin", 2: "zh", 3: "other", 4: "latin", 5: "latin"} and got[4].words == ["read", "this"]
+    assert got[1].marks[:2] == [2.0, 1.0] and got[1].marks[6] == 10.0 and got[2].marks[2] == 2.0 and got[1].text_chars == 40
+    common = rd.common_units(docs, 3)
+    assert set(common) == set(rd.SCRIPTS) and common["latin"] == ["and", "barked", "cafe"] and "小" in common["zh"] and len(common["other"]) == 3
+    f = {r.doc_id: dict(zip(rd.FEATURES, r.f)) for r in rd.with_features(docs, common).collect()}
+    assert f[1]["sentence_length"] == pytest.approx(np.log1p(4.5)) and f[1]["clause_length"] == pytest.approx(np.log1p(3)) and f[5]["syllables"] == pytest.approx(1.5)
+
+
 def test_column_expression_equals_the_model(spark):
     root = f"{ROOT}/sf0.01"
     docs, labels = table(spark, root, "documents"), table(spark, root, "level_labels")

@@ -8,12 +8,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxsieve.session import settled
+
 #: Labelled documents per script used to fit; of more, those with the smallest hash are taken.
 MOST_LABELLED = 1000
+#: Weight of the squared weights beside the loss of the pairs.
+PENALTY = 1e-3
 #: Size of the list of common words (and characters) that vocabulary features refer to.
 COMMON_WORDS = 2000
-#: The head of that list, the words that any text may use.
-EVERYDAY_WORDS = 200
+#: The head of that list, the words that any text may use, and of these the ones that hold sentences together.
+EVERYDAY_WORDS, FUNCTION_WORDS = 200, 60
 #: Characters of a word that counts as long.
 LONG, VERY_LONG = 8, 12
 
@@ -23,12 +27,14 @@ LINKS_ZH = "因为 虽然 但是 而且 从而 进而 使得 尽管 所以 如
 # Endings and characters typical of abstract nouns.
 ABSTRACT_EN = "(?:tion|sion|ity|ness|ment|ance|ence|ology|isation|ization|ability|ism)s?"
 ABSTRACT_ZH = "性 化 度 率 论 质 制 量 构 型 态 系 理 析 征".split()
-FEATURES = ["sentence_units", "clauses", "links", "unit_length", "long_share", "very_long_share", "abstract_share", "uncommon_share", "rare_share", "variety"]
+FEATURES = "sentence_length clause_length clauses links syllables long_share very_long_share abstract_share function_share everyday_missing common_missing variety".split()
+#: Scripts told apart: mostly Chinese characters, mostly words in Latin letters, anything else.
+SCRIPTS = ("latin", "zh", "other")
 
 
 def _clean(text: Column) -> Column:
     """The prose of a text: without tags, table rules, time marks, key=value pairs and heading marks."""
-    return F.regexp_replace(text, r"<[^<>]{1,200}>|\[\d+(?:\.\d+)?\](?: *\w{1,12}:)?|https?://\S+|\b\w+=\S+|[|#>*_`~{}]+|-{2,}", " ")
+    return F.regexp_replace(text, r"<[^<>]{1,200}>|</?[A-Za-z!][^<>]*>|\[\d+(?:\.\d+)?\](?: *\w{1,12}:)?|https?://\S+|\b\w+=\S+|[|#>*_`~{}]+|-{2,}", " ")
 
 
 def units(text: Column) -> Column:
@@ -41,42 +47,73 @@ def _quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
 
 
-def common_units(documents: DataFrame, n: int = COMMON_WORDS) -> list[str]:
-    """The ``n`` words or characters that occur in most documents, counted over all of them; ties by code point."""
-    each = documents.where("text is not null").select(F.explode(F.array_distinct(units(_clean(F.col("text"))))).alias("w"))
-    counts = each.groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    return [r["w"] for r in counts.orderBy(F.desc("c"), "w").limit(n).collect()]
+def _some(of: str, keep) -> Column:  # noqa: ANN001
+    return F.size(F.filter(of, keep)).cast("double")
 
 
-def with_features(documents: DataFrame, common: list[str]) -> DataFrame:
-    """``documents`` with ``script`` ('zh' or 'latin', by the text) and ``f``, the features in the order of FEATURES.
+def segmented(documents: DataFrame) -> DataFrame:
+    """``documents`` without ``text`` but with ``script``, ``words``, ``text_chars`` and ``marks``, the numbers that come from the text itself.
 
-    Everything stays inside the JVM and in place. Empty and null texts have script null and features 0.
+    ``marks``: sentences, clause marks, runs of letters, long runs, very long runs, link words or characters, groups of vowels. Everything stays in place and inside the JVM.
     """
-    t = _clean(F.coalesce(F.col("text"), F.lit("")))
     count = lambda p: F.regexp_count("_t", F.lit(p)).cast("double")
-    some = lambda keep, of="_u": F.size(F.filter(of, keep)).cast("double")
+    d = documents.withColumn("_t", _clean(F.coalesce(F.col("text"), F.lit("")))).withColumn("words", units(F.col("_t")))
     # each step's columns are used several times in the next, so the optimiser keeps them apart and works them out once
-    d = documents.withColumn("_t", t).withColumn("_u", units(F.col("_t")))
-    d = d.withColumns({"_n": F.greatest(F.size("_u"), F.lit(1)).cast("double"), "_zh": some(lambda w: w.between("\u3400", "\u9fff")), "_kinds": F.array_distinct("_u"), "_s": F.greatest(count(r"[.!?。！？]+(?=\s|$|[\"'”’)\x{3400}-\x{9FFF}])"), F.lit(1.0))})
-    d = d.withColumn("script", F.when(F.size("_u") == 0, None).when(F.col("_zh") * 2 > F.size("_u"), "zh").otherwise("latin"))
-    is_zh, n, s = F.col("script") == "zh", F.col("_n"), F.col("_s")
-    d = d.withColumn("_runs", F.when(is_zh, F.greatest(count(r"[\x{3400}-\x{9FFF}]+"), F.lit(1.0))).otherwise(F.lit(1.0)))
-    runs, k = F.col("_runs"), F.greatest(F.size("_kinds"), F.lit(1)).cast("double")
-    beyond = lambda words: F.expr(f"cast(size(filter(_kinds, w -> w not in ({_quoted(words or [''])}))) as double)") / k
+    d = d.withColumns({"_zh": _some("words", lambda w: w.between("\u3400", "\u9fff")), "_latin": _some("words", lambda w: w < "\u0250")})
+    d = d.withColumn("script", F.when(F.size("words") == 0, None).when(F.col("_zh") * 2 > F.size("words"), "zh").when(F.col("_latin") * 2 >= F.size("words"), "latin").otherwise("other"))
+    is_zh = F.col("script") == "zh"
+    only_zh = lambda p: F.when(is_zh, count(p)).otherwise(F.lit(0.0))
+    marks = F.array(
+        F.greatest(count(r"[.!?。！？]+(?=\s|$|[\"'”’)\x{3400}-\x{9FFF}])"), F.lit(1.0)),
+        count(r"[,;:，；、：]"),
+        F.greatest(only_zh(r"[\x{3400}-\x{9FFF}]+"), F.lit(1.0)),
+        only_zh(r"[\x{3400}-\x{9FFF}]{12,}"),
+        only_zh(r"[\x{3400}-\x{9FFF}]{20,}"),
+        F.when(is_zh, count("|".join(LINKS_ZH))).otherwise(_some("words", lambda w: w.isin(LINKS_EN))),
+        F.when(is_zh, F.lit(0.0)).otherwise(count(r"[AEIOUYaeiouyÀ-ÅÈ-ÏÒ-ÖÙ-Ýà-åè-ïò-öù-ýÿœæ]+")),
+    )
+    return d.withColumns({"marks": marks, "text_chars": F.length("text")}).drop("_t", "_zh", "_latin", *(["text"] if "text" in documents.columns else []))
+
+
+def common_units(documents: DataFrame, n: int = COMMON_WORDS) -> dict[str, list[str]]:
+    """Per script the ``n`` words or characters that occur in most of its documents, counted over all of them; ties by code point."""
+    parts = documents if "words" in documents.columns else segmented(documents)
+    counts = settled(parts.where("script is not null").select("script", F.explode(F.array_distinct("words")).alias("w")).groupBy("script", "w").agg(F.count(F.lit(1)).alias("c")), "word-counts")
+    return {s: [r["w"] for r in counts.where(F.col("script") == s).orderBy(F.desc("c"), "w").limit(n).collect()] for s in SCRIPTS}
+
+
+def with_features(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
+    """``documents`` (or :func:`segmented` ones) with ``script`` and ``f``, the features in the order of FEATURES.
+
+    Syntax: words per sentence and per clause, clauses and links per sentence. Words: groups of vowels a word (Chinese: characters a run), long words (runs), abstract nouns, the share of
+    function words (the FUNCTION_WORDS most common ones of the script), and how many different words aren't among the everyday and common ones. Empty and null texts have script null and features 0.
+    """
+    d = documents if "words" in documents.columns else segmented(documents)
+    d = d.withColumns({"_kinds": F.array_distinct("words"), "_n": F.greatest(F.size("words"), F.lit(1)).cast("double")})
+    is_zh, n = F.col("script") == "zh", F.col("_n")
+    s, clauses, runs, long_runs, very_long_runs, links, vowels = (F.col("marks")[i] for i in range(7))
+    k = F.greatest(F.size("_kinds"), F.lit(1)).cast("double")
+
+    def by_script(of: str, test: str, most: int) -> Column:
+        """How many of the words ``of`` pass ``test`` (in or not in) for their script's most common words."""
+        lists = {x: _quoted(common.get(x, [])[:most] or [""]) for x in SCRIPTS}
+        return F.coalesce(*[F.when(F.col("script") == x, F.expr(f"cast(size(filter({of}, w -> w {test} ({words}))) as double)")) for x, words in lists.items()], F.lit(0.0))
+
     f = F.array(
         F.log1p(n / s),
-        count(r"[,;:，；、：]") / s,
-        F.when(is_zh, count("|".join(LINKS_ZH))).otherwise(some(lambda w: w.isin(LINKS_EN))) / s,
-        F.when(is_zh, F.col("_zh") / runs).otherwise(F.length(F.array_join("_u", "")) / n),
-        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{12,}") / runs).otherwise(some(lambda w: F.length(w) >= LONG) / n),
-        F.when(is_zh, count(r"[\x{3400}-\x{9FFF}]{20,}") / runs).otherwise(some(lambda w: F.length(w) >= VERY_LONG) / n),
-        F.when(is_zh, some(lambda w: w.isin(ABSTRACT_ZH))).otherwise(some(lambda w: (F.length(w) >= 7) & w.rlike(ABSTRACT_EN + "$"))) / n,
-        beyond(common[:EVERYDAY_WORDS]),
-        beyond(common),
+        F.log1p(n / (s + clauses)),
+        clauses / s,
+        links / s,
+        F.when(is_zh, n / runs).otherwise(vowels / n),
+        F.when(is_zh, long_runs / runs).otherwise(_some("words", lambda w: F.length(w) >= LONG) / n),
+        F.when(is_zh, very_long_runs / runs).otherwise(_some("words", lambda w: F.length(w) >= VERY_LONG) / n),
+        F.when(is_zh, _some("words", lambda w: w.isin(ABSTRACT_ZH))).otherwise(_some("words", lambda w: (F.length(w) >= 7) & w.rlike(ABSTRACT_EN + "$"))) / n,
+        by_script("words", "in", FUNCTION_WORDS) / n,
+        by_script("_kinds", "not in", EVERYDAY_WORDS) / k,
+        by_script("_kinds", "not in", COMMON_WORDS) / k,
         k / F.sqrt(n),
     )
-    return d.withColumn("f", F.transform(f, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))).drop("_t", "_u", "_n", "_zh", "_kinds", "_s", "_runs")
+    return d.withColumn("f", F.transform(f, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))).drop("words", "marks", "_kinds", "_n")
 
 
 @dataclass(frozen=True)
@@ -134,17 +171,18 @@ def fit(x: np.ndarray, y: np.ndarray) -> Ranker:
     """A ranker for graded examples; with fewer than two levels every score is 0 and the level their mean."""
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = (x - mean) / scale
-    w = fit_pairs(z, y) if len(set(y)) > 1 else np.zeros(x.shape[1])
+    w = fit_pairs(z, y, PENALTY) if len(set(y)) > 1 else np.zeros(x.shape[1])
     xs, ys = isotonic(z @ w, y)
     return Ranker(mean.tolist(), scale.tolist(), w.tolist(), xs, ys)
 
 
-def graded(documents: DataFrame, labels: DataFrame, common: list[str], most: int = MOST_LABELLED) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def graded(documents: DataFrame, labels: DataFrame, common: dict[str, list[str]], most: int = MOST_LABELLED) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Per script the features and mean levels of at most ``most`` labelled documents; null levels don't count."""
     from pyspark.sql import Window
 
     level = labels.where("reading_level is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("reading_level").alias("_level"))
-    rows = with_features(documents.select("doc_id", "text").join(level, "doc_id"), common)
+    needed = ["doc_id", *(c for c in ("text", "words", "marks", "script") if c in documents.columns and (c != "script" or "words" in documents.columns))]
+    rows = with_features(documents.select(*needed).join(level, "doc_id"), common)
     first = Window.partitionBy("script").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = rows.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most).orderBy("script", "_r").select("script", "f", "_level").collect()
     out = {}
@@ -154,16 +192,17 @@ def graded(documents: DataFrame, labels: DataFrame, common: list[str], most: int
     return out
 
 
-def reading_levels(documents: DataFrame, labels: DataFrame, common: list[str] | None = None) -> DataFrame:
-    """``documents`` with ``script, score, level_estimate`` (1 easy to 5 hard) and ``level``, the rounded estimate.
+def reading_levels(documents: DataFrame, labels: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
+    """``documents`` without ``text``, with ``script, text_chars, score, level_estimate`` (1 easy to 5 hard) and ``level``, the rounded estimate.
 
-    The model is small and becomes a column expression, so all documents are scored where they lie. A script without labels borrows
+    Texts are cut into words once and written as such; counts, the fit and the scores read these. The model is small and becomes a column expression, so all documents are scored where they lie. A script without labels borrows
     the other script's calibration; texts without words, and everything where nothing is labelled, have null scores.
     """
+    documents = settled(segmented(documents), "segmented")
     common = common_units(documents) if common is None else common
     models = {s: fit(x, y) for s, (x, y) in graded(documents, labels, common).items()}
     d = with_features(documents, common)
-    pick = lambda of: F.coalesce(*[F.when(F.col("script") == s, of(models.get(s) or next(iter(models.values())))) for s in ("latin", "zh")]) if models else F.lit(None)
+    pick = lambda of: F.coalesce(*[F.when(F.col("script") == s, of(models.get(s) or next(iter(models.values())))) for s in SCRIPTS]) if models else F.lit(None)
 
     def score(m: Ranker) -> Column:
         weights = F.lit([w / s for w, s in zip(m.weights, m.scale, strict=True)])
@@ -183,4 +222,4 @@ def reading_levels(documents: DataFrame, labels: DataFrame, common: list[str] |
 
 def profile(levels: DataFrame, by: list[str]) -> DataFrame:
     """Documents, characters and mean estimate per group and level, over the whole corpus."""
-    return levels.groupBy(*by, "level").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.length("text")).alias("n_chars"), F.round(F.avg("level_estimate"), 4).alias("mean_estimate"))
+    return levels.groupBy(*by, "level").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("text_chars").alias("n_chars"), F.round(F.avg("level_estimate"), 4).alias("mean_estimate"))
