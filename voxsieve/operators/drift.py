@@ -104,16 +104,17 @@ def catalogue(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def lifespans(footers: DataFrame) -> DataFrame:
-    """The unbroken spans of each (feed, field, type): ``feed, field, kind, first_no, last_no, n_files, n_values``.
+    """The unbroken spans of each (feed, field, type): ``feed, field, kind, first_no, last_no, n_files, n_values, retyped, next_no``.
 
-    An island starts where the field was not in the file before or had another type; files where all its values are null belong to the island they lie in.
+    An island starts where the field was not in the file before or had another type (``retyped``); files where all its values are null belong to the island they lie in.
+    ``next_no`` is the next file after the island that has the field.
     """
     seen = neighbours(footers, ["feed", "field"], "no", "kind")
-    broken = F.coalesce(F.col("prev_no") != F.col("no") - 1, F.lit(True)) | F.coalesce(F.col("last_kind") != F.col("kind"), F.lit(False))
-    marked = seen.select("feed", "field", "no", "kind", "n_values", F.when(broken, F.col("no")).alias("start"))
+    absent, other = F.coalesce(F.col("prev_no") != F.col("no") - 1, F.lit(True)), F.coalesce(F.col("last_kind") != F.col("kind"), F.lit(False))
+    marked = seen.select("feed", "field", "no", "kind", "n_values", "next_no", (other & ~absent).alias("retyped"), F.when(absent | other, F.col("no")).alias("start"))
     islands = neighbours(marked, ["feed", "field"], "no", "start").withColumn("first_no", F.coalesce("start", "last_start"))
-    ends = islands.groupBy("feed", "field", "first_no").agg(F.max("kind").alias("kind"), F.max("no").alias("last_no"), F.count(F.lit(1)).alias("n_files"), F.sum("n_values").alias("n_values"))
-    return ends.select("feed", "field", F.coalesce("kind", F.lit("null")).alias("kind"), "first_no", "last_no", "n_files", "n_values")
+    ends = islands.groupBy("feed", "field", "first_no").agg(F.max("kind").alias("kind"), F.max("no").alias("last_no"), F.count(F.lit(1)).alias("n_files"), F.sum("n_values").alias("n_values"), F.max("retyped").alias("retyped"), F.max_by("next_no", "no").alias("next_no"))
+    return ends.select("feed", "field", F.coalesce("kind", F.lit("null")).alias("kind"), "first_no", "last_no", "n_files", "n_values", "retyped", "next_no")
 
 
 def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
@@ -153,26 +154,26 @@ def _renames(cells: DataFrame, files: DataFrame, pairs: DataFrame, least: float)
 
 
 def _history(cells: DataFrame, rename_share: float) -> tuple[DataFrame, ...]:
-    """(files, seen, new, gone, renamed): numbered files, footers with their neighbours, starts and ends of fields, and the renames among these."""
+    """(files, footers, spans, new, gone, renamed): numbered files, their footers, the catalogue of lifespans, starts and ends of fields in it, and the renames among these."""
     files, footers = catalogue(cells)
-    seen = settled(neighbours(footers, ["feed", "field"], "no", "kind"), "seen")
-    new = seen.where("no > 1 and (prev_no is null or prev_no < no - 1)").select("feed", "no", F.col("field").alias("new"))
-    ended = seen.where("next_no is null or next_no > no + 1").select("feed", (F.col("no") + 1).alias("no"), F.col("field").alias("old"))
+    spans = settled(lifespans(footers), "lifespans")
+    new = spans.where("first_no > 1 and not retyped").select("feed", F.col("first_no").alias("no"), F.col("field").alias("new"))
+    ended = spans.where("next_no is null or next_no > last_no + 1").select("feed", (F.col("last_no") + 1).alias("no"), F.col("field").alias("old"))
     gone = settled(ended.join(files.select("feed", "no"), ["feed", "no"], "left_semi"), "gone")
     renamed = settled(_renames(cells, files, settled(gone.join(new, ["feed", "no"]), "pairs"), rename_share), "renamed")
-    return files, seen, new, gone, renamed
+    return files, footers, spans, new, gone, renamed
 
 
 def changes(cells: DataFrame, rename_share: float = 0.6) -> DataFrame:
     """Every change and the file that brought it: ``feed_id, file_name, change, old_field, new_field``.
 
-    Starts and ends of islands come from a lag over each field's footers; an end and a start in the same file are a
-    rename if the content goes on (see :func:`_renames`). Types are compared with the last file that had values. Empty and unreadable lines, and empty tables, give no rows. ``cells`` is
+    Starts and ends come from the catalogue of lifespans; an end and a start in the same file are a
+    rename if the content goes on (see :func:`_renames`), an island begun by another type a change of type, which is compared with the last file that had values. Empty and unreadable lines, and empty tables, give no rows. ``cells`` is
     read several times: pass a materialised table.
     """
-    files, seen, new, gone, renamed = _history(cells, rename_share)
+    files, _, spans, new, gone, renamed = _history(cells, rename_share)
     event = lambda d, change, old, new_field: d.select("feed", "no", F.lit(change).alias("change"), old.alias("old_field"), new_field.alias("new_field"))
-    retyped = seen.where("prev_no = no - 1 and kind is not null and last_kind is not null and kind <> last_kind")
+    retyped = spans.where("retyped").select("feed", F.col("first_no").alias("no"), "field")
     out = event(retyped, "retyped", F.col("field"), F.col("field"))
     out = out.unionByName(event(renamed, "renamed", F.col("old"), F.col("new")))
     out = out.unionByName(event(gone.join(renamed, ["feed", "no", "old"], "left_anti"), "removed", F.col("old"), F.lit("")))
@@ -196,7 +197,8 @@ def renamed_spellings(cells: DataFrame, family: str, rename_share: float = 0.6)
 
     A span that renames link to several canonical fields is left out; of two spans for one field in a file the first in alphabetic order counts.
     """
-    files, seen, _, _, renamed = _history(cells, rename_share)
+    files, footers, _, _, _, renamed = _history(cells, rename_share)
+    seen = neighbours(footers, ["feed", "field"], "no", "kind")
     known = list(spellings_of(family))
     edges = renamed.select("feed", "no", "old", "new").where(~F.col("old").isin(known) | ~F.col("new").isin(known))
     marked = seen.select("feed", "field", "no", F.when(F.col("prev_no").isNull() | (F.col("prev_no") < F.col("no") - 1), F.col("no")).alias("start"))

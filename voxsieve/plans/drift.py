@@ -13,7 +13,7 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p1_lifespans(spark: SparkSession, root: str) -> DataFrame:
-    return drift.lifespans(drift.catalogue(drift.materialised_cells(table(spark, root, "raw_lines")))[1])
+    return drift.lifespans(drift.catalogue(drift.materialised_cells(table(spark, root, "raw_lines")))[1]).drop("retyped", "next_no")
 
 
 def p1_index_table(spark: SparkSession, root: str) -> DataFrame:
