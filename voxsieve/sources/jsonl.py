@@ -31,9 +31,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, stric
     return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in shape.fields])
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
+def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object a line, keys in alphabetic order, other scripts unescaped, nulls written."""
-    df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
 
 
 def read_document(path: str) -> dict:
