@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def heavy_keys(df: DataFrame, key: Column, share: float = 1 / 2048, min_rows: int = 200_000, tracked: int = 16_384) -> list:
+def heavy_keys(df: DataFrame, key: Column, share: float = 1 / 1024, min_rows: int = 200_000, tracked: int = 4096) -> list:
     """Keys that hold at least ``share`` of the non-null rows and at least ``min_rows`` rows.
 
     A frequent-items sketch finds them in one scan without a shuffle of the keys, so the list has at most
@@ -15,7 +15,12 @@ def heavy_keys(df: DataFrame, key: Column, share: float = 1 / 2048, min_rows: in
     adaptive execution, which splits them in sort-merge joins. Empty input gives an empty list.
     """
     k = int(1 / share)
-    row = df.where(key.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k", key, F.lit(k), F.lit(tracked)).alias("top")).first()
+    # a task's sketch has a fixed size; they are merged in two levels, so that no task gets those of all tasks
+    some = df.where(key.isNotNull()).select(key.alias("_key"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("_bucket"))
+    parts = some.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k_accumulate", F.col("_key"), F.lit(tracked)).alias("s"))
+    # grouped, as the function can't combine nothing
+    whole = parts.groupBy((F.col("_bucket") * 0).alias("_all")).agg(F.sum("n").alias("n"), F.call_function("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s"))
+    row = whole.select("n", F.call_function("approx_top_k_estimate", F.col("s"), F.lit(k)).alias("top")).first()
     if not row or not row["n"]:
         return []
     least = max(min_rows, share * row["n"])
