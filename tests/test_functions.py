@@ -274,3 +274,28 @@ def test_files_and_lineage(spark, tmp_path):
     assert lineage.claim(tmp_path / "run", {"a": 1}) == lineage.claim(tmp_path / "run", {"a": 1})
     with pytest.raises(lineage.OtherRun):
         lineage.claim(tmp_path / "run", {"a": 2})
+
+
+def test_large_sets_and_orders(spark):
+    many = spark.range(200_000).select(F.col("id").cast("string").alias("uid"), F.lit("pos").alias("split"))
+    a, b = (set_fingerprint(d, ["split", "uid"]).first() for d in (many, many.unionByName(many.limit(10)).repartition(7)))
+    assert a == b and a.n == 200_000 and set_fingerprint(many.where("uid <> '5'"), ["split", "uid"]).first().fingerprint != a.fingerprint
+    row = spark.createDataFrame([(1_000_001, 12_345, "u", "pos", "s1", "raw", "original", None)], "o long, s long, uid string, split string, role string, view string, stream string, pcm_sha256 string")
+    name = row.select(file_names(F.col("o"), F.col("s"), F.lit("REJECTED")).alias("n")).first().n
+    assert name.startswith("1000001__") and "__12345__REJECTED__" in name
+
+
+def test_alias_tables_and_signatures(tmp_path):
+    path = tmp_path / "aliases.json"
+    path.write_text('{"Hi  Colmo": "hello colmo!", "wake": ["Wake up", "wake"]}')
+    table = tx.alias_table(str(path))
+    assert table["hi colmo"][-1] == "hello colmo" and table["wake"] == ["wake", "wake up"] and tx.alias_digest(table) != tx.alias_digest(tx.alias_table())
+    path.write_text('{"a": 3}')
+    with pytest.raises(ValueError):
+        tx.alias_table(str(path))
+    one = lineage.run_signature({"nll_switch_margin": 0.01}, s1_arm="s1", asr_sidecar=path, se_backend="none")
+    assert one["inference_signature"] == "none" and len(one["asr_sidecar_hash"]) == 64
+    path.write_text("{}")
+    assert lineage.run_signature({"nll_switch_margin": 0.01}, s1_arm="s1", asr_sidecar=path, se_backend="none")["signature_hash"] != one["signature_hash"]
+    with pytest.raises(ValueError):
+        lineage.run_signature(surprise=1)
